@@ -21,14 +21,14 @@ def first_wins(rows: DataFrame, spec: TableSpec) -> DataFrame:
     Copies are folded before the shuffle. With fixed-width columns the fold is a hash aggregation; other
     columns are carried in one struct, which Spark folds after sorting.
     """
-    order, values = F.col(spec.snapshot_id), spec.values
-    kinds = dict(rows.dtypes)
+    values, kinds = spec.values, dict(rows.dtypes)
+    if not values:
+        return rows.select(*spec.identity).distinct()
     grouped = rows.groupBy(*spec.identity)
     if all(_fixed_width(kinds[c]) for c in [*values, spec.snapshot_id]):
-        kept = grouped.agg(F.min(order).alias(spec.snapshot_id), *[F.min_by(v, order).alias(v) for v in values])
-    else:
-        kept = grouped.agg(F.min(F.struct(order, *values)).alias("_first")).select(*spec.identity, "_first.*")
-    return kept.select(*spec.identity, *values, spec.snapshot_id)
+        return grouped.agg(*[F.min_by(v, spec.snapshot_id).alias(v) for v in values])
+    first = F.min(F.struct(F.col(spec.snapshot_id).alias("_order"), F.struct(*values).alias("_values")))
+    return grouped.agg(first.alias("_first")).select(*spec.identity, "_first._values.*")
 
 
 def insert_ignore(rows: DataFrame, spec: TableSpec, target: DataFrame | None = None) -> DataFrame:
@@ -36,7 +36,7 @@ def insert_ignore(rows: DataFrame, spec: TableSpec, target: DataFrame | None = N
     first = first_wins(rows, spec)
     if target is not None:
         first = first.join(target.select(*spec.identity), spec.identity, "left_anti")
-    return first.select(*spec.identity, *spec.values)
+    return first
 
 
 def reorder(rows: DataFrame, spec: TableSpec, partitions: int | None = None) -> DataFrame:

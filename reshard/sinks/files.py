@@ -21,7 +21,10 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_bucketed(rows: DataFrame, spec: TableSpec, table: str, buckets: int, path: str | None = None) -> None:
-    """Target kept in buckets of its identity: merging changes then shuffles the changes only."""
+    """Target kept in buckets of its identity: merging changes then shuffles the changes only.
+
+    Use as many buckets as shuffle partitions, or more; with fewer the planner shuffles the target again.
+    """
     writer = (
         rows.repartition(buckets, *spec.identity)
         .write.bucketBy(buckets, *spec.identity)
