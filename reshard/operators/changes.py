@@ -93,7 +93,7 @@ def expand_row_images(events: DataFrame) -> DataFrame:
             *kept,
             "dml",
             "reason",
-            F.when(F.col("dml") == UPDATE, F.floor(F.col("_at") / 2)).otherwise(F.col("_at")).cast("int").alias("row_idx"),
+            F.when(F.col("dml") == UPDATE, F.shiftright("_at", 1)).otherwise(F.col("_at")).alias("row_idx"),
             F.when(F.col("dml") != INSERT, F.col("_image")).alias("before"),
             F.when(F.col("dml") == INSERT, F.col("_image"))
             .when((F.col("dml") == UPDATE) & F.col("reason").isNull(), paired)

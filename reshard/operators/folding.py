@@ -17,11 +17,13 @@ from reshard.spec import TableSpec
 
 
 def change_facts(operations: DataFrame, spec: TableSpec) -> DataFrame:
-    """Operations (one key each) -> one row of facts per key."""
+    """Operations (one key each) -> one row of facts per key. The key itself is not repeated in the image."""
     op = F.col("op")
+    pos = F.col("pos").alias("_pos")
+    values = [F.col("vals").getField(n).alias(n) for n in spec.values]
     return operations.groupBy(*spec.identity).agg(
-        F.max(F.when(op != REVISE, F.struct("pos", "op"))).alias("base"),
-        F.max(F.when(op != REMOVE, F.struct("pos", "vals"))).alias("image"),
+        F.max(F.when(op != REVISE, F.struct(pos, op.alias("_op")))).alias("base"),
+        F.max(F.when(op != REMOVE, F.struct(pos, *values))).alias("image"),
     )
 
 
@@ -30,14 +32,24 @@ def fold_facts(facts: DataFrame, spec: TableSpec) -> DataFrame:
     return facts.groupBy(*spec.identity).agg(F.max("base").alias("base"), F.max("image").alias("image"))
 
 
+def row_facts(rows: DataFrame, pos: Column, spec: TableSpec) -> DataFrame:
+    """Existing rows as facts: inserted at a position before all changes that follow."""
+    return rows.select(
+        *spec.identity,
+        F.struct(pos.alias("_pos"), F.lit(UPSERT).alias("_op")).alias("base"),
+        F.struct(pos.alias("_pos"), *spec.values).alias("image"),
+    )
+
+
 def net_operation(facts: DataFrame, spec: TableSpec) -> DataFrame:
     """Facts -> one operation per key: upsert, remove, or revise if present."""
-    op = F.coalesce(F.col("base.op"), F.lit(REVISE))
+    op = F.coalesce(F.col("base._op"), F.lit(REVISE))
+    image = [F.col(k).alias(k) if k in spec.key else F.col("image").getField(k).alias(k) for k in spec.names]
     return facts.select(
         *spec.identity,
         op.alias("op"),
-        F.when(op != REMOVE, F.col("image.vals")).alias("vals"),
-        F.greatest("base.pos", "image.pos").alias("pos"),
+        F.when(op != REMOVE, F.struct(*image)).alias("vals"),
+        F.greatest("base._pos", "image._pos").alias("pos"),
     )
 
 

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.task.maxFailures": "10",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Column calls are made from here, so recording their call sites would only slow plan building down.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

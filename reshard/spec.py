@@ -82,8 +82,8 @@ class TableSpec:
 
     @property
     def identity(self) -> list[str]:
-        """Columns that identify one target row."""
-        return ([self.source] if self.source else []) + ["shard", *self.key]
+        """Columns that identify one target row, the most selective ones first, as sorts compare them so."""
+        return [*self.key, "shard", *([self.source] if self.source else [])]
 
     @property
     def table_count(self) -> int:

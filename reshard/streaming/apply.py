@@ -25,9 +25,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reshard.functions.positions import change_position
 from reshard.operators.changes import accepted, assign_log_file, rejected, rotations
-from reshard.operators.folding import change_facts, fold_facts, state_rows
+from reshard.operators.folding import change_facts, fold_facts, row_facts, state_rows
 from reshard.operators.reports import last_position
-from reshard.operators.routing import UPSERT, split_key_moves
+from reshard.operators.routing import split_key_moves
 from reshard.plans.log_apply import typed_changes
 from reshard.session import broadcast_if_small
 from reshard.spec import TableSpec
@@ -85,13 +85,7 @@ class StreamApply:
             log_file, log_pos = F.col("start.log_file"), F.col("start.log_pos")
         else:
             placed, log_file, log_pos = rows, F.lit(starts[0]), F.lit(starts[1])
-        pos = change_position(log_file, log_pos, F.lit(-1)).alias("pos")
-        facts = placed.select(
-            *self.spec.identity,
-            F.struct(pos, F.lit(UPSERT).alias("op")).alias("base"),
-            F.struct(pos, F.struct(*self.spec.names).alias("vals")).alias("image"),
-        )
-        self._store_base(facts, -1)
+        self._store_base(row_facts(placed, change_position(log_file, log_pos, F.lit(-1)), self.spec), -1)
 
     def _store_base(self, facts: DataFrame, upto: int) -> None:
         _ordered(facts, self.spec).write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
