@@ -112,7 +112,7 @@ def resume_from_position(spark: SparkSession, sf: str) -> DataFrame:
     early = log.where(4 * F.col("seq") <= log.agg(F.max("seq")).scalar())
     explicit = reports.last_position(early).where(F.col("source").isin("db-0", "db-1"))
     saved = reports.last_position(middle).where(F.col("source").isin("db-1", "db-2"))
-    return changelog.after(log, changelog.start_positions(log, explicit, saved))
+    return changelog.resume(log, explicit, saved)
 
 
 @query

@@ -21,14 +21,10 @@ def with_chunk(rows: DataFrame, order: str, chunk_rows: int = CHUNK_ROWS, name:
     When the order is unique per group and whole-numbered, a chunk never holds more rows of a group than
     the range is wide.
     """
-    span = F.col("hi") - F.col("lo") + F.lit(1)
-    wanted = F.greatest(F.lit(1.0), F.col("n") / F.lit(float(chunk_rows)))
-    stats = (
-        rows.agg(F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(order).alias("n"))
-        .select(F.struct("lo", F.ceil(span / wanted).alias("width")).alias("range"))
-        .scalar()
-    )
-    return rows.withColumn(name, F.floor((F.col(order) - stats.getField("lo")) / stats.getField("width")))
+    span = F.max(order) - F.min(order) + F.lit(1)
+    wanted = F.greatest(F.lit(1.0), F.count(order) / F.lit(float(chunk_rows)))
+    width = rows.agg(F.ceil(span / wanted)).scalar()
+    return rows.withColumn(name, F.floor(F.col(order) / width))
 
 
 def with_previous(

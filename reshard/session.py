@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,11 @@ def build_session(app: str = "reshard", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="reshard-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``, or a temporary one in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -38,9 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="reshard-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -41,19 +41,27 @@ def decode_messages(messages: DataFrame, value: str = "value", image_type: str =
     return messages.select(event).select("_event.*")
 
 
+def known_positions(explicit: DataFrame, saved: DataFrame) -> DataFrame:
+    """Start per source as (source, start): the explicit position, else the saved one."""
+    here = position(F.col("log_file"), F.col("log_pos"))
+    given = explicit.select("source", here.alias("_given"))
+    kept = saved.select("source", here.alias("_saved"))
+    return given.join(kept, "source", "full_outer").select("source", F.coalesce("_given", "_saved").alias("start"))
+
+
 def start_positions(changes: DataFrame, explicit: DataFrame, saved: DataFrame) -> DataFrame:
-    """Where to start per source: the explicit position, else the saved one, else the log's current end."""
-    given = explicit.select("source", position(F.col("log_file"), F.col("log_pos")).alias("_given"))
-    kept = saved.select("source", position(F.col("log_file"), F.col("log_pos")).alias("_saved"))
+    """Start per source of the log, with the current end for sources that have no known position."""
     ends = last_position(changes).select("source", position(F.col("log_file"), F.col("log_pos")).alias("_end"))
-    return (
-        ends.join(given, "source", "left")
-        .join(kept, "source", "left")
-        .select("source", F.coalesce("_given", "_saved", "_end").alias("start"))
-    )
+    known = known_positions(explicit, saved)
+    return ends.join(known, "source", "left").select("source", F.coalesce("start", "_end").alias("start"))
 
 
 def after(changes: DataFrame, starts: DataFrame) -> DataFrame:
-    """Changes behind the start position of their source."""
+    """Changes behind the start position of their source; sources without one are left out."""
     here: Column = position(F.col("log_file"), F.col("log_pos"))
     return changes.join(broadcast_if_small(starts), "source").where(here > F.col("start")).drop("start")
+
+
+def resume(changes: DataFrame, explicit: DataFrame, saved: DataFrame) -> DataFrame:
+    """Changes still to be read. A source without a known position starts at the log's end: nothing yet."""
+    return after(changes, known_positions(explicit, saved))

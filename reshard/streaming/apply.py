@@ -4,13 +4,15 @@ Layout below the state path:
 
     delta/batch_id=B/      facts per key of micro-batch B; written again in full when B is repeated
     rejects/batch_id=B/    changes that could not be routed
-    positions/batch_id=B/  newest position per source; written last, so it also marks B as complete
+    positions/batch_id=B/  newest position per source so far; written last, so it also marks B as complete
+    rotations/batch_id=B/  last rotation per source so far, for logs that name their file by rotations only
     base/upto=B/           facts per key of all batches up to B, from a compaction; -1 is a loaded snapshot
     compactions/upto=B/    marks that base as complete
     checkpoint/            progress of the stream
 
 The current rows are the fold of the newest base and the deltas behind it. The fold orders by log position,
-so repeated batches and late files change nothing that is already right.
+so repeated batches and late files change nothing that is already right. Folders of batches before the
+newest base are not read any more and may be removed, but for the last one of ``positions`` and ``rotations``.
 """
 
 from __future__ import annotations
@@ -52,20 +54,25 @@ class StreamApply:
         """Fold one micro-batch and store it. Safe to repeat."""
         while self.paused is not None and self.paused():
             time.sleep(self.pause_seconds)
+        spark = events.sparkSession
         if self.rotating:
-            known = _stored(events.sparkSession, f"{self.path}/rotations")
-            earlier = None if known is None else known.where(F.col("batch_id") < batch_id)
-            points = rotations(events)
-            points.write.mode("overwrite").parquet(self._at("rotations", batch_id))
-            events = assign_log_file(events, earlier)
+            known = _stored(spark, self._at("rotations", batch_id - 1))
+            points = rotations(events) if known is None else known.unionByName(rotations(events))
+            last = points.groupBy("source").agg(F.max("seq").alias("seq"), F.max_by("log_file", "seq").alias("log_file"))
+            last.coalesce(1).write.mode("overwrite").parquet(self._at("rotations", batch_id))
+            events = assign_log_file(events, known)
         events = events.persist()
         try:
             changes = typed_changes(events, self.spec)
             facts = change_facts(split_key_moves(accepted(changes), self.spec), self.spec)
-            _ordered(facts, self.spec).write.mode("overwrite").parquet(self._at("delta", batch_id))
+            # The fold leaves the facts partitioned by key, so they are only sorted, not shuffled again.
+            facts = facts.sortWithinPartitions("shard", *self.spec.order)
+            facts.write.mode("overwrite").parquet(self._at("delta", batch_id))
             rejected(changes).write.mode("overwrite").parquet(self._at("rejects", batch_id))
-            positions = last_position(events.where(F.col("rows").isNotNull()))
-            positions.coalesce(1).write.mode("overwrite").parquet(self._at("positions", batch_id))
+            read = events.where(F.col("rows").isNotNull()).select("source", "log_file", "log_pos")
+            before = _stored(spark, self._at("positions", batch_id - 1))
+            newest = last_position(read if before is None else read.unionByName(before))
+            newest.coalesce(1).write.mode("overwrite").parquet(self._at("positions", batch_id))
         finally:
             events.unpersist()
 
@@ -88,7 +95,9 @@ class StreamApply:
         self._store_base(row_facts(placed, change_position(log_file, log_pos, F.lit(-1)), self.spec), -1)
 
     def _store_base(self, facts: DataFrame, upto: int) -> None:
-        _ordered(facts, self.spec).write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+        keys = ["shard", *self.spec.order]
+        ordered = facts.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        ordered.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
         done = facts.sparkSession.range(1).select(F.current_timestamp().alias("done_at"))
         done.write.mode("overwrite").parquet(f"{self.path}/compactions/upto={upto}")
 
@@ -123,8 +132,8 @@ class StreamApply:
 
     def positions(self, spark: SparkSession) -> DataFrame | None:
         """Newest applied position per source."""
-        stored = _stored(spark, f"{self.path}/positions")
-        return None if stored is None else last_position(stored)
+        last = self.last_batch(spark)
+        return None if last is None else spark.read.parquet(self._at("positions", last))
 
     def rejects(self, spark: SparkSession) -> DataFrame | None:
         return _stored(spark, f"{self.path}/rejects")
@@ -138,11 +147,6 @@ class StreamApply:
         return upto
 
 
-def _ordered(facts: DataFrame, spec: TableSpec) -> DataFrame:
-    keys = ["shard", *spec.order]
-    return facts.repartitionByRange(*keys).sortWithinPartitions(*keys)
-
-
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     """A table that may not have been written yet."""
     try:

@@ -33,7 +33,7 @@ def test_previous(spark, chunk_rows, spread):
 def test_chunks_are_bounded(spark):
     rows = spark.range(10_000).withColumn("id", F.col("id") * 12345)
     sizes = [r["count"] for r in with_chunk(rows, "id", 100).groupBy("_chunk").count().collect()]
-    assert len(sizes) >= 100 and max(sizes) <= 101
+    assert len(sizes) >= 100 and max(sizes) <= 101 and sum(sizes) == 10_000
 
 
 def test_row_number(spark):

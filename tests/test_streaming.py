@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import ITEMS, events_frame, random_operations, rows_of, sequential
 from reshard.functions.positions import position
-from reshard.sources.changelog import event_schema, stream_changelog
+from reshard.sources.changelog import after, event_schema, resume, start_positions, stream_changelog
 from reshard.spec import TableSpec
 from reshard.streaming.apply import StreamApply, lag_gate, stop_between_batches
 from reshard.streaming.listeners import Listener, listen, listener_counts, notify
@@ -116,6 +116,9 @@ def test_rotating_log(spark, tmp_path):
     apply.process(batch([(5, 100, "UpdateRowsEventV2", None, [[1, 10], [1, 11]])]), 2)
     assert current(apply, spark) == [(1, 11), (2, 20)]
     assert rows_of(apply.positions(spark), "log_file", "log_pos") == [("bin.2", 100)]
+    # Repeating a batch does not see rotations of its own or later batches as earlier ones.
+    apply.process(batch([(3, 950, "WriteRowsEventV2", None, [[2, 20]]), (4, 4, "RotateEvent", "bin.2", None)]), 1)
+    assert current(apply, spark) == [(1, 11), (2, 20)]
 
 
 def test_pauses_before_a_batch(spark, tmp_path):
@@ -165,3 +168,16 @@ def test_listener_failures_are_raised(spark):
             notify(events, [Listener("x", "*", "*", fail, wait=wait)])
     with pytest.raises(ValueError):
         Listener("x", "", "*")
+
+
+def test_where_to_start(spark):
+    log = events_frame(spark, [("f1", 1, 0, "I", 1, 5), ("f2", 1, 0, "I", 2, 5)])
+    log = log.unionByName(log.withColumn("source", F.lit("new"))).unionByName(log.withColumn("source", F.lit("old")))
+    names = "source string, log_file string, log_pos bigint"
+    explicit = spark.createDataFrame([("src", "f1", 10)], names)
+    saved = spark.createDataFrame([("src", "f2", 10), ("old", "f1", 0)], names)
+    starts = rows_of(start_positions(log, explicit, saved), "source", "start.log_file", "start.log_pos")
+    assert starts == [("new", "f2", 10), ("old", "f1", 0), ("src", "f1", 10)]
+    found = rows_of(resume(log, explicit, saved), "source", "log_file")
+    assert found == [("old", "f1"), ("old", "f2"), ("src", "f2")]
+    assert rows_of(after(log, start_positions(log, explicit, saved)), "source", "log_file") == found
