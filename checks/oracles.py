@@ -238,6 +238,9 @@ SELECT seq, CAST(seq AS VARCHAR) || ',' || CASE WHEN g % 3 <> 0 THEN CAST(create
 SELECT {_shard('user_id')} AS old_shard, {_shard('new_user_id')} AS new_shard, count(*) AS moves FROM ({MATCHED}) m
 WHERE dml = 'Update' AND {_shard('user_id')} <> {_shard('new_user_id')} GROUP BY 1, 2""",
     "insert_ignore": f"SELECT shard, user_id, recording_id, created_on FROM ({LOADED}) l",
+    "insert_ignore_existing": f"""
+SELECT shard, user_id, recording_id, created_on, source FROM ({LOADED}) l WHERE NOT EXISTS (SELECT 1 FROM ({_net(OPS)}) n
+  WHERE n.op = 'I' AND n.source = l.source AND n.user_id = l.user_id AND n.recording_id = l.recording_id)""",
     "reorder_snapshot": f"""
 SELECT shard, user_id, recording_id, created_on,
   row_number() OVER (PARTITION BY shard ORDER BY user_id, recording_id) AS row_no FROM ({LOADED}) l""",
@@ -251,6 +254,12 @@ SELECT shard, (rn - 1) // 50 AS batch_no,
   '[' || user_id || ',' || recording_id || ',' || created_on || ']' AS args
 FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY user_id, recording_id) AS rn FROM ({LOADED}) l) t
 WHERE (rn - 1) % 50 = 0""",
+    "dry_run_changes": f"""
+SELECT shard, (rn - 1) // 20 AS batch_no, op, '[' || CASE WHEN op = 'D' THEN user_id || ',' || recording_id
+    ELSE new_user_id || ',' || recording_id || ',' || created_on
+      || CASE WHEN op = 'U' THEN ',' || user_id || ',' || recording_id ELSE '' END END || ']' AS args
+FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY source, log_file, log_pos, row_idx, sub) AS rn FROM ({OPS}) o) t
+WHERE (rn - 1) % 20 = 0""",
     "render_statements": f"""
 SELECT source, log_file, log_pos, row_idx, shard, {_JSON_ARGS} AS rendered FROM ({ROUTED}) r WHERE shard <> 5""",
     "shard_placement": f"""

@@ -276,6 +276,13 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     return load_rows(_snapshot(spark, sf), fx.LIKES)
 
 
+@query
+def insert_ignore_existing(spark: SparkSession, sf: str) -> DataFrame:
+    """Load into shards that the log has already filled in part."""
+    facts = folding.change_facts(_operations(spark, sf), fx.LOGGED_LIKES)
+    return load_rows(_snapshot(spark, sf), fx.LOGGED_LIKES, folding.state_rows(facts, fx.LOGGED_LIKES))
+
+
 @query
 def reorder_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return loading.number_in_shard(load_rows(_snapshot(spark, sf), fx.LIKES), fx.LIKES)
@@ -300,6 +307,14 @@ def dry_run_preview(spark: SparkSession, sf: str) -> DataFrame:
     return shown.select("shard", "batch_no", "sql", "args")
 
 
+@query
+def dry_run_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same preview for the log, whose operations come in log order, here for one source after the other."""
+    ordered = _operations(spark, sf).withColumn("place", F.struct("source", "pos"))
+    first = loading.first_of_batches(ordered, fx.LOGGED_LIKES, 20, ("place",))
+    return reports.render_statements(first, fx.LOGGED_LIKES).select("shard", "batch_no", "op", "args")
+
+
 @query
 def render_statements(spark: SparkSession, sf: str) -> DataFrame:
     routed = reports.render_statements(routing.route_changes(_typed(spark, sf), fx.LOGGED_LIKES), fx.LOGGED_LIKES)
@@ -424,7 +439,7 @@ def throttle_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def _land_log(spark: SparkSession, sf: str) -> tuple[str, int]:
     """Write the log as files, to be read in about four micro-batches; returns files per trigger."""
-    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(4, spark.sparkContext.defaultParallelism)
     path = new_folder(spark, "landed")
     fx.row_events(spark, sf).repartitionByRange(parts, "seq").write.parquet(path)
     return path, math.ceil(parts / 4)

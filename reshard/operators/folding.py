@@ -32,6 +32,14 @@ def fold_facts(facts: DataFrame, spec: TableSpec) -> DataFrame:
     return facts.groupBy(*spec.identity).agg(F.max("base").alias("base"), F.max("image").alias("image"))
 
 
+def merge_facts(base: DataFrame, later: DataFrame, spec: TableSpec) -> DataFrame:
+    """Like ``fold_facts`` for two sides with one row per key; a bucketed base is then not shuffled."""
+    late = later.select(*spec.identity, F.col("base").alias("_base"), F.col("image").alias("_image"))
+    return base.join(late, spec.identity, "full_outer").select(
+        *spec.identity, F.greatest("base", "_base").alias("base"), F.greatest("image", "_image").alias("image")
+    )
+
+
 def row_facts(rows: DataFrame, pos: Column, spec: TableSpec) -> DataFrame:
     """Existing rows as facts: inserted at a position before all changes that follow."""
     return rows.select(

@@ -46,9 +46,9 @@ def reorder(rows: DataFrame, spec: TableSpec, partitions: int | None = None) ->
     return placed.sortWithinPartitions(*keys)
 
 
-def number_in_shard(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Place of every row in its shard's load order, from 1."""
-    return with_row_number(rows, ["shard"], list(spec.order))
+def number_in_shard(rows: DataFrame, spec: TableSpec, order: tuple[str, ...] = ()) -> DataFrame:
+    """Place of every row in its shard, from 1: in load order, or in another ``order``."""
+    return with_row_number(rows, ["shard"], list(order or spec.order), max_groups=spec.table_count)
 
 
 def load_batches(rows: DataFrame, batch_rows: int = 2000) -> DataFrame:
@@ -60,15 +60,22 @@ def load_batches(rows: DataFrame, batch_rows: int = 2000) -> DataFrame:
     )
 
 
-def first_of_batches(rows: DataFrame, spec: TableSpec, batch_rows: int = 2000) -> DataFrame:
-    """The first row of each write batch of each shard: what a dry run prints."""
-    numbered = number_in_shard(rows, spec)
+def first_of_batches(
+    rows: DataFrame, spec: TableSpec, batch_rows: int = 2000, order: tuple[str, ...] = ()
+) -> DataFrame:
+    """The first row of each write batch of each shard: what a dry run prints.
+
+    Snapshot rows are taken in load order, operations in log order with ``order=("pos",)``.
+    """
+    numbered = number_in_shard(rows, spec, order)
     return numbered.where((F.col("row_no") - 1) % batch_rows == 0).withColumn(
         "batch_no", F.floor((F.col("row_no") - 1) / F.lit(batch_rows))
     ).drop("row_no")
 
 
-def first_of_shards(rows: DataFrame, spec: TableSpec) -> DataFrame:
+def first_of_shards(rows: DataFrame, spec: TableSpec, order: tuple[str, ...] = ()) -> DataFrame:
     """The first row of each shard only; folds before the shuffle and needs no numbering."""
-    rest = [c for c in rows.columns if c != "shard" and c not in spec.order]
-    return rows.groupBy("shard").agg(F.min(F.struct(*spec.order, *rest)).alias("_first")).select("shard", "_first.*")
+    order = order or spec.order
+    rest = [c for c in rows.columns if c != "shard" and c not in order]
+    first = rows.groupBy("shard").agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    return first.select("shard", "_first.*").select(*rows.columns)

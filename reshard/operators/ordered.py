@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reshard.session import checkpointed
+from reshard.session import BROADCAST_ROWS, broadcast_if_small, checkpointed
 
 CHUNK_ROWS = 1_000_000
 
@@ -53,12 +53,14 @@ def with_previous(
     )
 
 
-def with_row_number(rows: DataFrame, group: list[str], order: list[str], name: str = "row_no") -> DataFrame:
+def with_row_number(
+    rows: DataFrame, group: list[str], order: list[str], name: str = "row_no", max_groups: int | None = None
+) -> DataFrame:
     """1-based place of each row in its group, for groups of any size; group columns must not be NULL.
 
     Rows are range-partitioned on (group, order), so a large group spreads over many tasks. They are
     checkpointed once placed, because the counts per partition and the rows must come from the same
-    placement even when a task is run again.
+    placement even when a task is run again. ``max_groups`` is a known bound on the number of groups.
     """
     placed = checkpointed(
         rows.repartitionByRange(*group, *order)
@@ -67,12 +69,14 @@ def with_row_number(rows: DataFrame, group: list[str], order: list[str], name: s
     ).withColumn("_part", F.shiftright("_at", 33))
     runs = placed.groupBy("_part", *group).agg(F.min("_at").alias("_from"), F.count("*").alias("_rows"))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition plus one per group boundary, so this is small whatever the data size.
     shifts = runs.select(
         "_part", *group, (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_from") + 1).alias("_shift")
     )
+    # One row per partition plus one per group: small when the groups are known to be few.
+    few = max_groups is not None and max_groups <= BROADCAST_ROWS
+    shifts = F.broadcast(shifts) if few else broadcast_if_small(shifts)
     return (
-        placed.join(F.broadcast(shifts), ["_part", *group])
+        placed.join(shifts, ["_part", *group])
         .withColumn(name, F.col("_at") + F.col("_shift"))
         .drop("_part", "_at", "_shift")
     )

@@ -62,10 +62,14 @@ def statement(op: str, spec: TableSpec, rows: int = 1) -> str:
     return f"{verb} {spec.table} ({', '.join(spec.names)}) values {', '.join([insert_segment(spec)] * rows)}"
 
 
-def _json(values: list[Column]) -> Column:
-    """A JSON list of values of different types."""
+def _json(values: list[Column], spec: TableSpec) -> Column:
+    """A JSON list of values of different types. Text is also made safe for HTML, as usual in such logs."""
     parts = [F.regexp_replace(F.to_json(F.array(v), {"ignoreNullFields": "false"}), r"^\[|\]$", "") for v in values]
-    return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+    text = F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+    if any(c.type == "string" for c in spec.columns):
+        for char in "<>&\u2028\u2029":
+            text = F.replace(text, F.lit(char), F.lit(f"\\u{ord(char):04x}"))
+    return text
 
 
 def render_statements(operations: DataFrame, spec: TableSpec) -> DataFrame:
@@ -73,10 +77,10 @@ def render_statements(operations: DataFrame, spec: TableSpec) -> DataFrame:
     image = [F.col("vals").getField(n) for n in spec.names]
     old_key = [F.col(k) for k in spec.key]
     sql = F.when(F.col("op") == REMOVE, statement(REMOVE, spec))
-    args = F.when(F.col("op") == REMOVE, _json(old_key))
+    args = F.when(F.col("op") == REMOVE, _json(old_key, spec))
     for op, values in ((REVISE, image + old_key), (UPSERT, image), (INSERT_IGNORE, image)):
         sql = sql.when(F.col("op") == op, statement(op, spec))
-        args = args.when(F.col("op") == op, _json(values))
+        args = args.when(F.col("op") == op, _json(values, spec))
     rendered = operations.withColumns({"sql": sql, "args": args})
     return rendered.withColumn("rendered", F.concat("sql", F.lit(" --> "), "args"))
 

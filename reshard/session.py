@@ -22,6 +22,9 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Control data with more rows than this is not broadcast.
+BROADCAST_ROWS = 200_000
+
 
 def build_session(app: str = "reshard", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -59,7 +62,7 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint(eager=True)
 
 
-def broadcast_if_small(rows: DataFrame, max_rows: int = 200_000) -> DataFrame:
+def broadcast_if_small(rows: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast control data after counting it; above the bound the planner joins by shuffle."""
     small = rows.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(rows) if small else rows

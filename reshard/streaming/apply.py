@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reshard.functions.positions import change_position
 from reshard.operators.changes import accepted, assign_log_file, rejected, rotations
-from reshard.operators.folding import change_facts, fold_facts, row_facts, state_rows
-from reshard.operators.reports import last_position
+from reshard.operators.folding import change_facts, fold_facts, merge_facts, row_facts, state_rows
+from reshard.operators.loading import first_of_shards
+from reshard.operators.reports import last_position, render_statements
 from reshard.operators.routing import split_key_moves
 from reshard.plans.log_apply import typed_changes
 from reshard.session import broadcast_if_small
@@ -41,11 +43,24 @@ class StreamApply:
     """Applies a change log to the state below ``path``."""
 
     def __init__(
-        self, spec: TableSpec, path: str, paused: Gate | None = None, pause_seconds: float = 1.0, rotating: bool = False
+        self,
+        spec: TableSpec,
+        path: str,
+        paused: Gate | None = None,
+        pause_seconds: float = 1.0,
+        rotating: bool = False,
+        buckets: int | None = None,
+        preview: Callable[[DataFrame, int], None] | None = None,
     ) -> None:
-        """``paused`` is asked before every batch. ``rotating`` logs name their file by rotation events only."""
+        """``paused`` is asked before every batch. ``rotating`` logs name their file by rotation events only.
+
+        ``buckets`` (at least the number of shuffle partitions) keeps the base in buckets of its keys, so that
+        reading and compacting shuffle the deltas only; without it the base is kept in shard order.
+        ``preview`` makes a dry run: it gets the first operation of every shard, and nothing is stored.
+        """
         self.spec, self.path = spec, path.rstrip("/")
         self.paused, self.pause_seconds, self.rotating = paused, pause_seconds, rotating
+        self.buckets, self.preview = buckets, preview
 
     def _at(self, part: str, batch_id: int) -> str:
         return f"{self.path}/{part}/batch_id={batch_id}"
@@ -55,6 +70,10 @@ class StreamApply:
         while self.paused is not None and self.paused():
             time.sleep(self.pause_seconds)
         spark = events.sparkSession
+        if self.preview is not None:
+            operations = split_key_moves(accepted(typed_changes(events, self.spec)), self.spec)
+            first = first_of_shards(operations, self.spec, ("pos",))
+            return self.preview(render_statements(first, self.spec), batch_id)
         if self.rotating:
             known = _stored(spark, self._at("rotations", batch_id - 1))
             points = rotations(events) if known is None else known.unionByName(rotations(events))
@@ -95,31 +114,49 @@ class StreamApply:
         self._store_base(row_facts(placed, change_position(log_file, log_pos, F.lit(-1)), self.spec), -1)
 
     def _store_base(self, facts: DataFrame, upto: int) -> None:
-        keys = ["shard", *self.spec.order]
-        ordered = facts.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        ordered.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        done = facts.sparkSession.range(1).select(F.current_timestamp().alias("done_at"))
+        path, identity = f"{self.path}/base/upto={upto}", self.spec.identity
+        if self.buckets:
+            placed = facts.repartition(self.buckets, *identity).write.bucketBy(self.buckets, *identity)
+            placed.sortBy(*identity).mode("overwrite").option("path", path).saveAsTable(self._table(upto))
+        else:
+            keys = ["shard", *self.spec.order]
+            ordered = facts.repartitionByRange(*keys).sortWithinPartitions(*keys)
+            ordered.write.mode("overwrite").parquet(path)
+        done = facts.sparkSession.range(1).select(F.lit(self.buckets).cast("int").alias("buckets"))
         done.write.mode("overwrite").parquet(f"{self.path}/compactions/upto={upto}")
 
+    def _table(self, upto: int) -> str:
+        """Catalog name of a bucketed base; the catalog may be forgetful, the files are what counts."""
+        return f"reshard_{crc32(self.path.encode()):08x}_{upto + 1}"
+
     def _base(self, spark: SparkSession) -> tuple[int, DataFrame | None]:
         done = _stored(spark, f"{self.path}/compactions")
-        upto = None if done is None else done.agg(F.max("upto")).first()[0]
-        if upto is None:
+        last = None if done is None else done.orderBy(F.desc("upto")).first()
+        if last is None:
             return -1, None
-        return upto, spark.read.parquet(f"{self.path}/base/upto={upto}")
+        upto, buckets, path = last["upto"], last["buckets"], f"{self.path}/base/upto={last['upto']}"
+        files = spark.read.parquet(path)
+        if not buckets:
+            return upto, files
+        if not spark.catalog.tableExists(self._table(upto)):
+            columns = ", ".join(f"`{name}` {kind}" for name, kind in files.dtypes)
+            keys = ", ".join(f"`{k}`" for k in self.spec.identity)
+            spark.sql(
+                f"CREATE TABLE {self._table(upto)} ({columns}) USING parquet "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'"
+            )
+        return upto, spark.table(self._table(upto))
 
     def facts(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
         """Folded facts of all complete batches, or of those up to ``upto``."""
         last = self.last_batch(spark)
         from_base, base = self._base(spark)
-        wanted = [*self.spec.identity, "base", "image"]
-        parts = None if base is None else base.select(wanted)
-        if last is not None:
-            last = last if upto is None else min(last, upto)
-            inside = (F.col("batch_id") > from_base) & (F.col("batch_id") <= last)
-            deltas = spark.read.parquet(f"{self.path}/delta").where(inside).select(wanted)
-            parts = deltas if parts is None else parts.unionByName(deltas)
-        return None if parts is None else fold_facts(parts, self.spec)
+        if last is None:
+            return base
+        last = last if upto is None else min(last, upto)
+        inside = (F.col("batch_id") > from_base) & (F.col("batch_id") <= last)
+        deltas = fold_facts(spark.read.parquet(f"{self.path}/delta").where(inside), self.spec)
+        return deltas if base is None else merge_facts(base, deltas, self.spec)
 
     def current(self, spark: SparkSession) -> DataFrame | None:
         """Rows of all shards as of the last complete batch; None before the first."""

@@ -36,14 +36,15 @@ def test_chunks_are_bounded(spark):
     assert len(sizes) >= 100 and max(sizes) <= 101 and sum(sizes) == 10_000
 
 
-def test_row_number(spark):
+@pytest.mark.parametrize("max_groups", [None, 6])
+def test_row_number(spark, max_groups):
     data = skewed(2, 3000)
     expected, count = {}, {}
     for group, seq, _ in sorted(data, key=lambda r: r[1]):
         count[group] = count.get(group, 0) + 1
         expected[group, seq] = count[group]
     rows = spark.createDataFrame(data, "g string, seq bigint, v int")
-    assert {(r["g"], r["seq"]): r["row_no"] for r in with_row_number(rows, ["g"], ["seq"]).collect()} == expected
+    assert {(r["g"], r["seq"]): r["row_no"] for r in with_row_number(rows, ["g"], ["seq"], max_groups=max_groups).collect()} == expected
 
 
 @pytest.mark.parametrize("bound", [0, 1_000_000])

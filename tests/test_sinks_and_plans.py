@@ -131,6 +131,8 @@ def test_text_arguments_are_quoted(spark):
         "k", F.lit("I").alias("op"), F.struct("k", "v").alias("vals")
     )
     assert json.loads(reports.render_statements(rows, spec).first()["args"]) == [1, 'a"],[b']
+    marked = rows.withColumn("vals", F.struct("k", F.lit("<a&b>\u2028").alias("v")))
+    assert reports.render_statements(marked, spec).first()["args"] == r'[1,"\u003ca\u0026b\u003e\u2028"]'
 
 
 def test_batches(spark):

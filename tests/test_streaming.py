@@ -181,3 +181,31 @@ def test_where_to_start(spark):
     found = rows_of(resume(log, explicit, saved), "source", "log_file")
     assert found == [("old", "f1"), ("old", "f2"), ("src", "f2")]
     assert rows_of(after(log, start_positions(log, explicit, saved)), "source", "log_file") == found
+
+
+def test_bucketed_base_is_not_shuffled(spark, tmp_path):
+    operations = random_operations(15, 240, 40)
+    parts = [operations[i::4] for i in range(4)]
+    apply = StreamApply(SOURCED, str(tmp_path / "state"), buckets=8)
+    for batch, part in enumerate(parts):
+        apply.process(events_frame(spark, part), batch)
+        if batch == 1:
+            assert apply.compact(spark) == 1
+    assert current(apply, spark) == sequential(operations)
+    # A new session does not know the table, only the files.
+    spark.sql(f"DROP TABLE {apply._table(1)}")
+    plan = apply.current(spark)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    assert current(StreamApply(SOURCED, str(tmp_path / "state")), spark) == sequential(operations)
+    assert apply.compact(spark) == 3
+    assert current(apply, spark) == sequential(operations)
+
+
+def test_dry_run_stores_nothing(spark, tmp_path):
+    seen = {}
+    apply = StreamApply(
+        ITEMS, str(tmp_path / "state"), preview=lambda first, batch: seen.__setitem__(batch, rows_of(first, "shard", "rendered"))
+    )
+    apply.process(events_frame(spark, [("f", 2, 0, "I", 2, 6), ("f", 1, 0, "D", 1, 5)]), 0)
+    assert seen == {0: [(0, "delete from items where k=? --> [1]")]}
+    assert apply.current(spark) is None
