@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from reshard.operators.loading import insert_ignore
+from reshard.operators.reports import snapshot_operations
 from reshard.operators.routing import route_snapshot, snapshot_accepted
+from reshard.sinks.database import Connect, write_operations
 from reshard.sinks.files import write_shards
 from reshard.spec import TableSpec
 
@@ -17,3 +19,8 @@ def load_rows(snapshot: DataFrame, spec: TableSpec, target: DataFrame | None = N
 
 def batch_load(snapshot: DataFrame, spec: TableSpec, path: str, mode: str = "errorifexists") -> None:
     write_shards(load_rows(snapshot, spec), spec, path, mode)
+
+
+def load_databases(snapshot: DataFrame, spec: TableSpec, connect: Connect, **options) -> None:
+    """The same load into shard databases, with statements that skip existing keys."""
+    write_operations(snapshot_operations(load_rows(snapshot, spec), spec), spec, connect, **options)

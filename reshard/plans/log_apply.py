@@ -8,6 +8,7 @@ from reshard.operators.changes import accepted, expand_row_images, match_tables,
 from reshard.operators.folding import apply_changes, compact_changes
 from reshard.operators.routing import split_key_moves
 from reshard.plans.batch_load import load_rows
+from reshard.sinks.database import Connect, write_operations
 from reshard.sources.changelog import after
 from reshard.spec import TableSpec
 
@@ -26,6 +27,11 @@ def apply_log(target: DataFrame, events: DataFrame, spec: TableSpec) -> DataFram
     return apply_changes(target, compact_changes(single_key_operations(events, spec), spec), spec)
 
 
+def apply_log_to_databases(events: DataFrame, spec: TableSpec, connect: Connect, **options) -> None:
+    """Net changes of these events, run on the shard databases. Also a handler's work for one micro-batch."""
+    write_operations(compact_changes(single_key_operations(events, spec), spec), spec, connect, **options)
+
+
 def bootstrap_state(snapshot: DataFrame, events: DataFrame, starts: DataFrame, spec: TableSpec) -> DataFrame:
     """Snapshot, then the log behind ``starts`` (source, start position).
 

@@ -32,8 +32,9 @@ from reshard.operators.folding import change_facts, fold_facts, merge_facts, row
 from reshard.operators.loading import first_of_shards
 from reshard.operators.reports import last_position, render_statements
 from reshard.operators.routing import split_key_moves
-from reshard.plans.log_apply import typed_changes
+from reshard.plans.log_apply import apply_log_to_databases, typed_changes
 from reshard.session import broadcast_if_small
+from reshard.sinks.database import Connect
 from reshard.spec import TableSpec
 
 Gate = Callable[[], bool]
@@ -67,8 +68,7 @@ class StreamApply:
 
     def process(self, events: DataFrame, batch_id: int) -> None:
         """Fold one micro-batch and store it. Safe to repeat."""
-        while self.paused is not None and self.paused():
-            time.sleep(self.pause_seconds)
+        wait_while(self.paused, self.pause_seconds)
         spark = events.sparkSession
         if self.preview is not None:
             operations = split_key_moves(accepted(typed_changes(events, self.spec)), self.spec)
@@ -97,9 +97,7 @@ class StreamApply:
 
     def start(self, events: DataFrame, every: str | None = "2 seconds") -> StreamingQuery:
         """Start the stream; without ``every`` it takes what is there and stops."""
-        writer = events.writeStream.foreachBatch(self.process).option("checkpointLocation", f"{self.path}/checkpoint")
-        writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-        return writer.start()
+        return start_batches(events, self.process, f"{self.path}/checkpoint", every)
 
     def seed(self, rows: DataFrame, starts: DataFrame | tuple[str, int]) -> None:
         """Begin with loaded rows, taken to be as old as the log position from which changes are read.
@@ -184,6 +182,38 @@ class StreamApply:
         return upto
 
 
+def wait_while(paused: Gate | None, pause_seconds: float = 1.0) -> None:
+    """Hold the batch back as long as the gate says so."""
+    while paused is not None and paused():
+        time.sleep(pause_seconds)
+
+
+def stream_to_databases(
+    events: DataFrame,
+    spec: TableSpec,
+    connect: Connect,
+    checkpoint: str,
+    every: str | None = "2 seconds",
+    paused: Gate | None = None,
+    pause_seconds: float = 1.0,
+    **options,
+) -> StreamingQuery:
+    """Continuous apply to shard databases. A repeated batch repeats full images, so it does no harm."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        wait_while(paused, pause_seconds)
+        apply_log_to_databases(batch, spec, connect, **options)
+
+    return start_batches(events, process, checkpoint, every)
+
+
+def start_batches(
+    events: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
+) -> StreamingQuery:
+    writer = events.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     """A table that may not have been written yet."""
     try:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reshard.functions.events import table_matches
+from reshard.streaming.apply import start_batches
 
 
 @dataclass(frozen=True)
@@ -51,9 +52,7 @@ def notify(changes: DataFrame, listeners: list[Listener], batch_id: int = 0) ->
 
 def listen(changes: DataFrame, listeners: list[Listener], checkpoint: str, every: str | None = "2 seconds") -> StreamingQuery:
     """Fan a stream out to the listeners."""
-    writer = changes.writeStream.foreachBatch(lambda batch, batch_id: notify(batch, listeners, batch_id))
-    writer = writer.option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    return start_batches(changes, lambda batch, batch_id: notify(batch, listeners, batch_id), checkpoint, every)
 
 
 def listener_counts(changes: DataFrame, listeners: list[Listener]) -> DataFrame:

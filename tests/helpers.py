@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import glob
+import json
+import os
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -65,3 +69,40 @@ def events_frame(spark, operations):
     from reshard.sources.changelog import event_schema
 
     return spark.createDataFrame(rows, event_schema())
+
+
+class Recorder:
+    """A database connection that writes what it is told to a folder, and fails on its first commit."""
+
+    def __init__(self, folder, shard):
+        self.folder, self.shard, self.pending = folder, shard, []
+
+    def cursor(self):
+        return self
+
+    def execute(self, sql, args):
+        self.pending.append([sql, args])
+
+    def commit(self):
+        first = f"{self.folder}/failed-{self.shard}"
+        if not os.path.exists(first):
+            open(first, "w").close()
+            raise ConnectionError("lost")
+        with open(f"{self.folder}/{self.shard}-{os.getpid()}-{id(self)}.log", "a") as out:
+            out.write(json.dumps([time.time_ns(), self.pending]) + "\n")
+        self.pending = []
+
+    def rollback(self):
+        self.pending = []
+
+    def close(self):
+        pass
+
+
+def recorded(folder):
+    """(shard, statements) of all committed batches, in commit order."""
+    batches = []
+    for name in glob.glob(f"{folder}/*.log"):
+        shard = int(os.path.basename(name).split("-")[0])
+        batches += [(*json.loads(line), shard) for line in open(name)]
+    return [(shard, statements) for _, statements, shard in sorted(batches)]

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -199,3 +200,23 @@ def test_latin1_all_bytes(spark):
 def test_image_text(spark):
     assert evaluate(spark, ["1", None, "x,y"], "array<string>", values.image_text(F.col("x")))[0] == "1,<nil>,x,y"
     assert evaluate(spark, [b"ab", b"1"], "array<binary>", values.image_text(F.col("x")))[0] == "ab,1"
+
+
+def test_hash_string_against_a_model(spark):
+    rnd = random.Random(7)
+    texts = ["".join(rnd.choice("0123456789") for _ in range(rnd.randrange(1, 26))) for _ in range(3000)]
+    texts += ["".join(rnd.choice("0189 +-a\n_é") for _ in range(rnd.randrange(0, 6))) for _ in range(3000)]
+    texts += [str(2**64 + d) for d in range(-50, 50)] + ["0" * 30 + str(2**63 + d) for d in range(-50, 50)]
+
+    def model(text):
+        if text and all(c in "0123456789" for c in text) and int(text) < 2**64:
+            return signed(int(text))
+        return zlib.crc32(text.encode())
+
+    frame = spark.createDataFrame([(t,) for t in texts], "x string")
+    hashed = hashing.hash_string(F.col("x")).alias("h")
+    index = hashing.shard_index(F.col("h"), 7, 6).alias("i")
+    for text, found, place in frame.select("x", hashed).select("x", "h", index).collect():
+        assert found == model(text), text
+        unsigned = found % 2**64
+        assert place == ((unsigned >> 48) & 4095) % 7 * 6 + unsigned % 6, text

@@ -9,14 +9,16 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from helpers import ITEMS, operations_frame, rows_of
+from helpers import ITEMS, Recorder, events_frame, operations_frame, random_operations, recorded, rows_of, sequential
 from reshard.operators import loading, reports, routing
 from reshard.operators.folding import apply_changes, compact_changes
-from reshard.plans.batch_load import batch_load, load_rows
+from reshard.plans.batch_load import batch_load, load_databases, load_rows
 from reshard.plans.log_apply import apply_log
 from reshard.sinks.database import write_operations
 from reshard.sinks.files import read_shards, save_bucketed
 from reshard.sources import directory, snapshot
+from reshard.sources.changelog import stream_changelog
+from reshard.streaming.apply import stream_to_databases
 
 
 def plan_of(df):
@@ -147,48 +149,11 @@ def test_first_of_shards(spark, sf):
     assert rows_of(batches, *names) == rows_of(loading.first_of_shards(rows, fx.LIKES), *names)
 
 
-class Recorder:
-    """A database connection that writes what it is told to a folder, and fails on its first commit."""
-
-    def __init__(self, folder, shard):
-        self.folder, self.shard, self.pending = folder, shard, []
-
-    def cursor(self):
-        return self
-
-    def execute(self, sql, args):
-        self.pending.append([sql, args])
-
-    def commit(self):
-        first = f"{self.folder}/failed-{self.shard}"
-        if not os.path.exists(first):
-            open(first, "w").close()
-            raise ConnectionError("lost")
-        with open(f"{self.folder}/{self.shard}-{os.getpid()}-{id(self)}.log", "a") as out:
-            out.write(json.dumps(self.pending) + "\n")
-        self.pending = []
-
-    def rollback(self):
-        self.pending = []
-
-    def close(self):
-        pass
-
-
-def recorded(folder):
-    batches = []
-    for name in glob.glob(f"{folder}/*.log"):
-        shard = int(os.path.basename(name).split("-")[0])
-        batches += [(shard, json.loads(line)) for line in open(name)]
-    return batches
-
-
 def test_database_sink(spark, sf, tmp_path):
     folder = str(tmp_path)
     rows = load_rows(fx.build(spark, sf, fx.SNAPSHOT), fx.LIKES)
-    write_operations(
-        reports.snapshot_operations(rows, fx.LIKES), fx.LIKES, lambda shard: Recorder(folder, shard), batch_rows=7, wait_seconds=0
-    )
+    snapshot_rows = fx.build(spark, sf, fx.SNAPSHOT)
+    load_databases(snapshot_rows, fx.LIKES, lambda shard: Recorder(folder, shard), batch_rows=7, wait_seconds=0)
     batches, written = recorded(folder), []
     for shard, batch in batches:
         (sql, args), = batch
@@ -211,6 +176,29 @@ def test_database_sink_changes(spark, tmp_path):
     ]
 
 
+def test_stream_into_databases(spark, tmp_path):
+    """Statements of all batches, run in commit order, leave the sequential state."""
+    operations = random_operations(21, 150, 20)
+    landed, out, waits = str(tmp_path / "log"), str(tmp_path / "out"), [True, False, False, False]
+    os.mkdir(out)
+    for start in (0, 50, 100):
+        events_frame(spark, operations[start : start + 50]).coalesce(1).write.mode("append").parquet(landed)
+    stream_to_databases(
+        stream_changelog(spark, landed, files_per_trigger=1), ITEMS, lambda shard: Recorder(out, shard),
+        str(tmp_path / "checkpoint"), every=None, paused=lambda: waits.pop(0), pause_seconds=0.01, wait_seconds=0,
+    ).awaitTermination()
+    state = {}
+    for _, batch in recorded(out):
+        for sql, args in batch:
+            if sql.startswith("replace"):
+                state[args[0]] = args[1]
+            elif sql.startswith("delete"):
+                state.pop(args[0], None)
+            elif args[2] in state:
+                state[args[0]] = args[1]
+    assert waits == [] and sorted(state.items()) == sequential(operations)
+
+
 def test_database_sink_gives_up(spark, tmp_path):
     ops = operations_frame(spark, [("f", 1, 0, "I", 1, 5)])
 
