@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reshard.functions.positions import position
 from reshard.operators.routing import REMOVE, REVISE, UPSERT
 from reshard.spec import TableSpec
 
@@ -49,6 +50,17 @@ def row_facts(rows: DataFrame, pos: Column, spec: TableSpec) -> DataFrame:
     )
 
 
+def forget_absent(facts: DataFrame, passed: Column) -> DataFrame:
+    """Drop facts of keys that do not exist and were last touched at or before the ``passed`` position.
+
+    Right as long as changes up to that position are not folded again.
+    """
+    last = F.greatest("base._pos", "image._pos")
+    absent = F.coalesce(F.col("base._op"), F.lit(REVISE)) != UPSERT
+    gone = absent & (position(last.getField("log_file"), last.getField("log_pos")) <= passed)
+    return facts.where(~F.coalesce(gone, F.lit(False)))
+
+
 def net_operation(facts: DataFrame, spec: TableSpec) -> DataFrame:
     """Facts -> one operation per key: upsert, remove, or revise if present."""
     op = F.coalesce(F.col("base._op"), F.lit(REVISE))

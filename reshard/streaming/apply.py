@@ -8,6 +8,7 @@ Layout below the state path:
     rotations/batch_id=B/  last rotation per source so far, for logs that name their file by rotations only
     base/upto=B/           facts per key of all batches up to B, from a compaction; -1 is a loaded snapshot
     compactions/upto=B/    marks that base as complete
+    forgotten/upto=B/      positions up to which removed keys were forgotten; changes up to there are skipped
     checkpoint/            progress of the stream
 
 The current rows are the fold of the newest base and the deltas behind it. The fold orders by log position,
@@ -26,9 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reshard.functions.positions import change_position
-from reshard.operators.changes import accepted, assign_log_file, rejected, rotations
-from reshard.operators.folding import change_facts, fold_facts, merge_facts, row_facts, state_rows
+from reshard.functions.positions import change_position, position
+from reshard.operators.changes import accepted, assign_log_file, rejected, rotations, skip_applied
+from reshard.operators.folding import change_facts, fold_facts, forget_absent, merge_facts, row_facts, state_rows
 from reshard.operators.loading import first_of_shards
 from reshard.operators.reports import last_position, render_statements
 from reshard.operators.routing import split_key_moves
@@ -80,7 +81,8 @@ class StreamApply:
             last = points.groupBy("source").agg(F.max("seq").alias("seq"), F.max_by("log_file", "seq").alias("log_file"))
             last.coalesce(1).write.mode("overwrite").parquet(self._at("rotations", batch_id))
             events = assign_log_file(events, known)
-        events = events.persist()
+        passed = self._forgotten(spark)
+        events = (events if passed is None else skip_applied(events, passed)).persist()
         try:
             changes = typed_changes(events, self.spec)
             facts = change_facts(split_key_moves(accepted(changes), self.spec), self.spec)
@@ -105,8 +107,8 @@ class StreamApply:
         ``starts`` is (source, start) with the spec's source column, or one (file, offset) without it.
         """
         if self.spec.source:
-            placed = rows.join(broadcast_if_small(starts), self.spec.source)
-            log_file, log_pos = F.col("start.log_file"), F.col("start.log_pos")
+            placed = rows.join(broadcast_if_small(starts), self.spec.source, "left")
+            log_file, log_pos = F.coalesce("start.log_file", F.lit("")), F.coalesce("start.log_pos", F.lit(0))
         else:
             placed, log_file, log_pos = rows, F.lit(starts[0]), F.lit(starts[1])
         self._store_base(row_facts(placed, change_position(log_file, log_pos, F.lit(-1)), self.spec), -1)
@@ -173,12 +175,29 @@ class StreamApply:
     def rejects(self, spark: SparkSession) -> DataFrame | None:
         return _stored(spark, f"{self.path}/rejects")
 
-    def compact(self, spark: SparkSession) -> int | None:
-        """Fold everything so far into a new base. Removed keys stay as facts, so late changes still fit."""
+    def _forgotten(self, spark: SparkSession) -> DataFrame | None:
+        stored = _stored(spark, f"{self.path}/forgotten")
+        return None if stored is None else last_position(stored)
+
+    def compact(self, spark: SparkSession, forget: DataFrame | None = None) -> int | None:
+        """Fold everything so far into a new base.
+
+        Removed keys stay as facts, so that late changes still fit. ``forget`` (source, log_file, log_pos)
+        drops those that were last touched at or before a position no late change will come from.
+        """
         upto = self.last_batch(spark)
         if upto is None or upto == self._base(spark)[0]:
             return None
-        self._store_base(self.facts(spark, upto), upto)
+        facts = self.facts(spark, upto)
+        if forget is not None:
+            here = position(F.col("log_file"), F.col("log_pos")).alias("_passed")
+            if self.spec.source:
+                passed = broadcast_if_small(forget.select(F.col("source").alias(self.spec.source), here))
+                facts = forget_absent(facts.join(passed, self.spec.source, "left"), F.col("_passed")).drop("_passed")
+            else:
+                facts = forget_absent(facts, forget.select(here).scalar())
+            forget.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/forgotten/upto={upto}")
+        self._store_base(facts, upto)
         return upto
 
 

@@ -209,3 +209,32 @@ def test_dry_run_stores_nothing(spark, tmp_path):
     apply.process(events_frame(spark, [("f", 2, 0, "I", 2, 6), ("f", 1, 0, "D", 1, 5)]), 0)
     assert seen == {0: [(0, "delete from items where k=? --> [1]")]}
     assert apply.current(spark) is None
+
+
+@pytest.mark.parametrize("spec, buckets", [(ITEMS, None), (SOURCED, 8)])
+def test_removed_keys_can_be_forgotten(spark, tmp_path, spec, buckets):
+    operations = random_operations(16, 240, 60)
+    apply = StreamApply(spec, str(tmp_path / "state"), buckets=buckets)
+    apply.process(events_frame(spark, operations[:120]), 0)
+    log_file, log_pos, row_idx = operations[99][:3]
+    passed = spark.createDataFrame([("src", log_file, log_pos * 10 + row_idx)], "source string, log_file string, log_pos bigint")
+    kept = apply.facts(spark).count()
+    assert apply.compact(spark, passed) == 0
+    assert apply.facts(spark).count() < kept
+    assert current(apply, spark) == sequential(operations[:120])
+    # Changes that were forgotten about are skipped, newer ones fit, in any order.
+    apply.process(events_frame(spark, operations[180:]), 1)
+    apply.process(events_frame(spark, operations[50:180]), 2)
+    assert current(apply, spark) == sequential(operations)
+    assert apply.compact(spark) == 2
+    assert current(apply, spark) == sequential(operations)
+
+
+def test_seed_keeps_rows_of_unknown_sources(spark, tmp_path):
+    rows = spark.createDataFrame([("src", 0, 1, 1), ("other", 0, 1, 2)], "source string, shard int, k bigint, v int")
+    starts = spark.createDataFrame([("src",)], "source string").select(
+        "source", position(F.lit("bin.00001"), F.lit(0)).alias("start")
+    )
+    apply = StreamApply(SOURCED, str(tmp_path / "state"))
+    apply.seed(rows, starts)
+    assert current(apply, spark) == [(1, 1), (1, 2)]
