@@ -40,6 +40,14 @@ SELECT event_id AS seq, CASE WHEN event_id % 2 = 0 THEN 'db-a' ELSE 'db-b' END A
 FROM (SELECT event_id, user_id, event_type, CAST((event_id - event_id % 4) / 4 AS BIGINT) AS g FROM {{events}}) e
 """
 
+# The log with a missing file number after every seventh and an earlier offset in every tenth event.
+_GAPPED = "CAST(n + CAST((n - n % 7) / 7 AS BIGINT) AS STRING)"
+AUDITED = f"""
+SELECT source, seq, 'mysql-bin.' || lpad({_GAPPED}, CAST(greatest(5, length({_GAPPED})) AS INT), '0') AS log_file,
+  CASE WHEN g % 10 = 9 THEN log_pos - 2000 ELSE log_pos END AS log_pos
+FROM (SELECT *, CAST(substr(log_file, 11) AS BIGINT) AS n FROM ({CHANGES}) c) m
+"""
+
 # Log with rotations and statements between the rows events.
 RAW = f"""
 SELECT CASE WHEN event_id % 2 = 0 THEN 'db-a' ELSE 'db-b' END AS source, event_id AS seq,

@@ -21,6 +21,7 @@ MIXED = _sql(fx.MIXED_ENTRIES)
 POSITIONS = _sql(fx.POSITIONS)
 FOUR = _sql(fx.FOUR_SOURCES)
 STATEMENTS = _sql(fx.STATEMENTS)
+AUDITED = _sql(fx.AUDITED)
 
 
 def _slot(key: str) -> str:
@@ -162,11 +163,6 @@ SELECT *, CASE WHEN g % 13 = 5 THEN 'unknown_dml' WHEN {DML} = 'Update' AND g %
 FROM ({CHG}) c WHERE substr(lower(database_name), 1, 6) = 'shard_' AND lower(table_name) = 'user_recording_like'
 """
 
-_AUDITED = f"""
-SELECT source, log_file, seq, CASE WHEN g % 10 = 9 THEN log_pos - 2000 ELSE log_pos END AS log_pos
-FROM ({CHG}) c WHERE CAST(right(log_file, length(log_file) - 10) AS BIGINT) % 7 <> 5
-"""
-
 # Windows-1252 characters for 0x80 .. 0x9F; codes that are not assigned stay control codes.
 _HIGH = " ".join(
     f"WHEN {code} THEN '{bytes([code]).decode('cp1252')}'"
@@ -289,7 +285,7 @@ UNION ALL SELECT 'null_key', count(*) FROM ({_FAULTY}) f WHERE bad IS NULL AND s
 SELECT source, seq, event_name, log_pos,
   last_value(next_log_name IGNORE NULLS) OVER (PARTITION BY source ORDER BY seq) AS log_file FROM ({RAW}) r""",
     "log_gap_audit": f"""
-WITH a AS ({_AUDITED}), s AS (SELECT *, lag(log_pos) OVER (PARTITION BY source, log_file ORDER BY seq) AS b FROM a),
+WITH a AS ({AUDITED}), s AS (SELECT *, lag(log_pos) OVER (PARTITION BY source, log_file ORDER BY seq) AS b FROM a),
 f AS (SELECT source, log_file, CAST(substr(log_file, 11) AS BIGINT) AS n, count(*) AS rows,
   count(*) FILTER (log_pos < b) AS backward_steps FROM s GROUP BY 1, 2, 3),
 w AS (SELECT *, lag(log_file) OVER (PARTITION BY source ORDER BY log_file) AS before_file,

@@ -60,11 +60,18 @@ def file_distance(log_file: Column, other: Column) -> Column:
     return file_number(other) - file_number(log_file)
 
 
-def _renumbered(log_file: Column, number: Column) -> Column:
+def _renumbered(log_file: Column, number: Column, width: Column | None = None) -> Column:
     part = _number_part(log_file)
     stem = F.substring(log_file, F.lit(1), F.length(log_file) - F.length(part))
     digits = number.cast("string")
-    return F.concat(stem, F.lpad(digits, F.greatest(F.length(part), F.length(digits)), F.lit("0")))
+    width = F.length(part) if width is None else width
+    return F.concat(stem, F.lpad(digits, F.greatest(width, F.length(digits)), F.lit("0")))
+
+
+def padded_file(log_file: Column, width: int = 20) -> Column:
+    """The name with its number padded, so that order by name is also order by number."""
+    number = _file_number(log_file)
+    return F.when(number.isNotNull(), _renumbered(log_file, number, F.lit(width))).otherwise(log_file)
 
 
 def next_file(log_file: Column) -> Column:

@@ -40,13 +40,16 @@ def assign_log_file(
     if known is not None:
         points = points.unionByName(known.select("source", "seq", "log_file"))
     first = points.agg(
-        F.min("seq").alias("lo"), F.max("seq").alias("hi"), F.count("*").alias("n"), F.countDistinct("source").alias("k")
+        F.min("seq").alias("lo"),
+        F.max("seq").alias("hi"),
+        F.count("*").alias("n"),
+        F.approx_count_distinct("source").alias("k"),
     ).first()
     if not first["n"]:
         return events.withColumn("log_file", F.lit(None).cast("string"))
     lo, n, sources = first["lo"], first["n"], first["k"]
-    # About one rotation per source and bucket, so the pieces stay below twice the rotations.
-    width = max(1, math.ceil((first["hi"] - lo + 1) / max(1, n // sources)))
+    # About one rotation per source and bucket, so there are about twice as many pieces as rotations.
+    width = max(1, math.ceil((first["hi"] - lo + 1) / max(1, n // max(1, sources))))
     final = (first["hi"] - lo) // width + 1
 
     def bucket(seq: Column) -> Column:
@@ -62,7 +65,7 @@ def assign_log_file(
             F.sequence(bucket(F.col("seq")), F.coalesce(bucket(F.col("_to") - 1), F.lit(final)))
         ).alias("_bucket"),
     )
-    if 2 * n + 2 * sources <= max_broadcast_rows:
+    if 3 * (n + sources) <= max_broadcast_rows:
         pieces = F.broadcast(pieces)
     within = (F.col("seq") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("seq") < F.col("_to")))
     left = events.drop("log_file").withColumn("_bucket", bucket(F.col("seq"))).alias("e")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reshard.functions.positions import position
+from reshard.functions.positions import padded_file, position
 from reshard.operators.reports import last_position
 from reshard.session import broadcast_if_small
 
@@ -41,6 +41,12 @@ def decode_messages(messages: DataFrame, value: str = "value", image_type: str =
     return messages.select(event).select("_event.*")
 
 
+def order_files_by_number(events: DataFrame) -> DataFrame:
+    """Pad the file numbers, for logs whose numbers have grown by a digit. Positions must be padded alike."""
+    padded = [c for c in ("log_file", "next_log_name") if c in events.columns]
+    return events.withColumns({c: padded_file(F.col(c)) for c in padded})
+
+
 def known_positions(explicit: DataFrame, saved: DataFrame) -> DataFrame:
     """Start per source as (source, start): the explicit position, else the saved one."""
     here = position(F.col("log_file"), F.col("log_pos"))

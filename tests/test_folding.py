@@ -3,8 +3,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import ITEMS, operations_frame, random_operations, rows_of, sequential
+from helpers import ITEMS, events_frame, operations_frame, random_operations, rows_of, sequential
 from reshard.operators.folding import apply_changes, change_facts, compact_changes, fold_facts, state_rows
+from reshard.operators.reports import last_position
+from reshard.plans.log_apply import single_key_operations
+from reshard.sources.changelog import order_files_by_number
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -56,3 +59,13 @@ def test_hot_key_is_folded_before_the_shuffle(spark):
     plan = compact_changes(ops.withColumn("shard", F.col("k").cast("int")), ITEMS)._jdf.queryExecution().executedPlan().toString()
     before_shuffle = plan[plan.index("Exchange"):]
     assert "partial_max" in before_shuffle
+
+
+def test_files_can_be_ordered_by_number(spark):
+    """By name the tenth-power file comes first; padded names follow the numbers."""
+    log = [("bin.999999", 10, 0, "I", 1, 1), ("bin.1000000", 10, 0, "U", 1, 2), ("bin.1000001", 10, 0, "D", 2, 0)]
+    events = order_files_by_number(events_frame(spark, log))
+    facts = change_facts(single_key_operations(events, ITEMS), ITEMS)
+    assert rows_of(state_rows(facts, ITEMS), "k", "v") == [(1, 2)]
+    assert rows_of(last_position(events), "log_file") == [("bin.00000000000001000001",)]
+    assert rows_of(last_position(events_frame(spark, log)), "log_file") == [("bin.999999",)]
