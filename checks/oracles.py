@@ -266,7 +266,7 @@ SELECT CAST(r.i AS INTEGER) AS shard, count(s.id) AS rows FROM range(32) r(i)
 LEFT JOIN (SELECT id, {_shard('user_id')} AS shard FROM ({SNAP}) s WHERE {_shard('user_id')} <> 5) s ON s.shard = r.i GROUP BY 1""",
     "rows_processed": f"""
 SELECT source, chunk, rows, CAST(sum(rows) OVER (PARTITION BY source ORDER BY chunk) AS BIGINT) AS rows_processed
-FROM (SELECT source, CAST(id // 2000 AS BIGINT) AS chunk, count(*) AS rows FROM ({SNAP}) s GROUP BY 1, 2) t""",
+FROM (SELECT source, CAST(id // 200 AS BIGINT) AS chunk, count(*) AS rows FROM ({SNAP}) s GROUP BY 1, 2) t""",
     "compact_changes": _net(OPS),
     "apply_changes": _merged(LOADED, _net(OPS)),
     "bootstrap_state": _merged(LOADED, _net(OPS_BEHIND)),

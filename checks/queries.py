@@ -334,7 +334,7 @@ def shard_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rows_processed(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.rows_processed(snapshot.chunk_plan(_snapshot(spark, sf), 2000, by=("source",)))
+    return reports.rows_processed(snapshot.chunk_plan(_snapshot(spark, sf), 200, by=("source",)), chunk_rows=20)
 
 
 # Applying the log

@@ -51,11 +51,18 @@ def number_in_shard(rows: DataFrame, spec: TableSpec, order: tuple[str, ...] = (
     return with_row_number(rows, ["shard"], list(order or spec.order), max_groups=spec.table_count)
 
 
-def load_batches(rows: DataFrame, batch_rows: int = 2000) -> DataFrame:
-    """Write batches per shard; the last one may be short."""
+def load_batches(rows: DataFrame, batch_rows: int = 2000, run: int = 10_000) -> DataFrame:
+    """Write batches per shard; the last one may be short.
+
+    Batches are listed in runs that are spread over tasks, as a large shard can have very many.
+    """
     counts = rows.groupBy("shard").agg(F.count("*").alias("_rows"))
     last = F.ceil(F.col("_rows") / F.lit(batch_rows)) - 1
-    return counts.select("shard", "_rows", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("batch_no")).select(
+    runs = counts.select(
+        "shard", "_rows", last.alias("_last"), F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(run).cast("bigint"))).alias("_from")
+    ).repartition("shard", "_from")
+    to = F.least(F.col("_last"), F.col("_from") + (run - 1))
+    return runs.select("shard", "_rows", F.explode(F.sequence("_from", to)).alias("batch_no")).select(
         "shard", "batch_no", F.least(F.lit(batch_rows), F.col("_rows") - F.col("batch_no") * batch_rows).alias("batch_rows")
     )
 

@@ -53,6 +53,26 @@ def with_previous(
     )
 
 
+def with_running_total(
+    rows: DataFrame, group: list[str], order: str, value: str, name: str, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """Sum of ``value`` up to and including each row, per group in ``order``."""
+    chunked = with_chunk(rows, order, chunk_rows)
+    earlier = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        chunked.groupBy(*group, "_chunk")
+        .agg(F.sum(value).alias("_sum"))
+        .select(*group, "_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carried"))
+    )
+    within = Window.partitionBy(*group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        chunked.withColumn("_near", F.sum(value).over(within))
+        .join(carried, [*group, "_chunk"], "left")
+        .withColumn(name, F.col("_near") + F.col("_carried"))
+        .drop("_chunk", "_near", "_carried")
+    )
+
+
 def with_row_number(
     rows: DataFrame, group: list[str], order: list[str], name: str = "row_no", max_groups: int | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reshard.operators.audit import log_gap_audit
 from reshard.operators.changes import assign_log_file
 from reshard.operators.lag import pause_transitions, replica_lag
-from reshard.operators.ordered import with_chunk, with_previous, with_row_number
+from reshard.operators.ordered import with_chunk, with_previous, with_row_number, with_running_total
 
 
 def skewed(seed, count, spread=1):
@@ -36,6 +36,18 @@ def test_chunks_are_bounded(spark):
     assert len(sizes) >= 100 and max(sizes) <= 101 and sum(sizes) == 10_000
 
 
+@pytest.mark.parametrize("chunk_rows", [3, 100_000])
+def test_running_total(spark, chunk_rows):
+    data = skewed(4, 300, 50)
+    expected, total = {}, {}
+    for group, seq, value in sorted(data, key=lambda r: r[1]):
+        total[group] = total.get(group, 0) + (value or 0)
+        expected[group, seq] = total[group]
+    rows = spark.createDataFrame(data, "g string, seq bigint, v int").fillna(0)
+    found = with_running_total(rows, ["g"], "seq", "v", "total", chunk_rows)
+    assert {(r["g"], r["seq"]): r["total"] for r in found.collect()} == expected
+
+
 @pytest.mark.parametrize("max_groups", [None, 6])
 def test_row_number(spark, max_groups):
     data = skewed(2, 3000)

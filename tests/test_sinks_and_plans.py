@@ -139,7 +139,9 @@ def test_text_arguments_are_quoted(spark):
 
 def test_batches(spark):
     rows = spark.range(4001).select(F.when(F.col("id") < 4000, 0).otherwise(1).alias("shard"))
-    assert rows_of(loading.load_batches(rows, 2000), "shard", "batch_no", "batch_rows") == [(0, 0, 2000), (0, 1, 2000), (1, 0, 1)]
+    for run in (1, 2, 10_000):
+        batches = loading.load_batches(rows, 2000, run)
+        assert rows_of(batches, "shard", "batch_no", "batch_rows") == [(0, 0, 2000), (0, 1, 2000), (1, 0, 1)]
 
 
 def test_first_of_shards(spark, sf):
