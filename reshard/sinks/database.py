@@ -8,7 +8,6 @@ from itertools import groupby
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
 
 from reshard.operators.routing import INSERT_IGNORE, REMOVE, REVISE
 from reshard.operators.reports import statement
@@ -54,15 +53,17 @@ def write_operations(
     attempts: int = 10,
     wait_seconds: float = 1.0,
     marker: str = "?",
+    tasks: int | None = None,
 ) -> None:
     """Run operations on their shards, one transaction per batch, in key order within a shard.
 
     Operations should be compacted, one per key; every statement may be repeated without harm, so failed
     batches and failed tasks are simply tried again. Rows that insert-ignore go out as one statement per
-    batch. A large shard is spread over several tasks, each with its own connection.
+    batch. A large shard is spread over several tasks, each with its own connection; ``tasks`` bounds them.
     """
     keys = ["shard", *spec.order]
-    ordered = operations.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    placed = operations.repartitionByRange(tasks, *keys) if tasks else operations.repartitionByRange(*keys)
+    ordered = placed.sortWithinPartitions(*keys)
 
     def run(rows: Iterator[Row]) -> None:
         shard_open, connection = None, None

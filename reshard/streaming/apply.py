@@ -23,7 +23,7 @@ from collections.abc import Callable
 from zlib import crc32
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,16 +53,19 @@ class StreamApply:
         rotating: bool = False,
         buckets: int | None = None,
         preview: Callable[[DataFrame, int], None] | None = None,
+        progress: Callable[[int, dict], None] | None = None,
     ) -> None:
         """``paused`` is asked before every batch. ``rotating`` logs name their file by rotation events only.
 
         ``buckets`` (at least the number of shuffle partitions) keeps the base in buckets of its keys, so that
         reading and compacting shuffle the deltas only; without it the base is kept in shard order.
         ``preview`` makes a dry run: it gets the first operation of every shard, and nothing is stored.
+        ``progress`` is told after every batch how many changes it had, how many were rejected, and how many
+        operations went to each shard; the counts are taken along the way.
         """
         self.spec, self.path = spec, path.rstrip("/")
         self.paused, self.pause_seconds, self.rotating = paused, pause_seconds, rotating
-        self.buckets, self.preview = buckets, preview
+        self.buckets, self.preview, self.progress = buckets, preview, progress
 
     def _at(self, part: str, batch_id: int) -> str:
         return f"{self.path}/{part}/batch_id={batch_id}"
@@ -85,7 +88,8 @@ class StreamApply:
         events = (events if passed is None else skip_applied(events, passed)).persist()
         try:
             changes = typed_changes(events, self.spec)
-            facts = change_facts(split_key_moves(accepted(changes), self.spec), self.spec)
+            counted, done = self._observed(changes)
+            facts = change_facts(done, self.spec)
             # The fold leaves the facts partitioned by key, so they are only sorted, not shuffled again.
             facts = facts.sortWithinPartitions("shard", *self.spec.order)
             facts.write.mode("overwrite").parquet(self._at("delta", batch_id))
@@ -94,9 +98,22 @@ class StreamApply:
             before = _stored(spark, self._at("positions", batch_id - 1))
             newest = last_position(read if before is None else read.unionByName(before))
             newest.coalesce(1).write.mode("overwrite").parquet(self._at("positions", batch_id))
+            if self.progress is not None:
+                self.progress(batch_id, {name: value for one in counted for name, value in one.get.items()})
         finally:
             events.unpersist()
 
+    def _observed(self, changes: DataFrame) -> tuple[list[Observation], DataFrame]:
+        """Single-key operations, with counters attached if somebody wants to know."""
+        if self.progress is None:
+            return [], split_key_moves(accepted(changes), self.spec)
+        read, pushed = Observation(), Observation()
+        refused = F.count_if(F.col("reason").isNotNull()).alias("rejected")
+        changes = changes.observe(read, F.count("*").alias("changes"), refused)
+        per_shard = [F.count_if(F.col("shard") == i) for i in range(self.spec.table_count)]
+        operations = split_key_moves(accepted(changes), self.spec)
+        return [read, pushed], operations.observe(pushed, F.array(*per_shard).alias("pushed"))
+
     def start(self, events: DataFrame, every: str | None = "2 seconds") -> StreamingQuery:
         """Start the stream; without ``every`` it takes what is there and stops."""
         return start_batches(events, self.process, f"{self.path}/checkpoint", every)

@@ -238,3 +238,15 @@ def test_seed_keeps_rows_of_unknown_sources(spark, tmp_path):
     apply = StreamApply(SOURCED, str(tmp_path / "state"))
     apply.seed(rows, starts)
     assert current(apply, spark) == [(1, 1), (1, 2)]
+
+
+def test_progress(spark, tmp_path):
+    seen = {}
+    spec = TableSpec(**{**ITEMS.__dict__, "shard_num": 4, "shard_filter": lambda shard: shard != 2})
+    apply = StreamApply(spec, str(tmp_path / "state"), progress=seen.__setitem__)
+    operations = [("f", n, 0, "I", key, 5) for n, key in enumerate([1, 2, 2**48, 2**49, 3 * 2**48, None])]
+    land(spark, operations, str(tmp_path / "log"))
+    run(apply, spark, str(tmp_path / "log"))
+    assert seen == {0: {"changes": 6, "rejected": 1, "pushed": [2, 1, 0, 1]}}
+    apply.process(spark.createDataFrame([], event_schema()), 1)
+    assert seen[1] == {"changes": 0, "rejected": 0, "pushed": [0, 0, 0, 0]}
