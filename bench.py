@@ -9,7 +9,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,7 +20,7 @@ from reshard.functions.positions import position  # noqa: E402
 from reshard.operators import folding, lag, loading, routing  # noqa: E402
 from reshard.plans import log_apply  # noqa: E402
 from reshard.plans.batch_load import load_rows  # noqa: E402
-from reshard.session import build_session  # noqa: E402
+from reshard.session import build_session, new_folder  # noqa: E402
 from reshard.sinks.files import write_shards  # noqa: E402
 from reshard.sources.changelog import read_changelog, stream_changelog  # noqa: E402
 from reshard.streaming.apply import StreamApply  # noqa: E402
@@ -32,7 +31,6 @@ RUNS = 3
 
 
 def main() -> None:
-    folder = tempfile.mkdtemp(prefix="reshard-bench-")
     spark = build_session(
         "bench",
         f"local[{CPUS}]",
@@ -41,11 +39,10 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": folder,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    spark.sparkContext.setCheckpointDir(folder)
+    folder = new_folder(spark, "bench")
 
     landed = f"{folder}/log"
     fx.row_events(spark, SF_DIR).repartitionByRange(int(CPUS), "seq").write.parquet(landed)

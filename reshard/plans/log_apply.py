@@ -9,6 +9,7 @@ from reshard.operators.folding import apply_changes, compact_changes
 from reshard.operators.routing import split_key_moves
 from reshard.plans.batch_load import load_rows
 from reshard.sinks.database import Connect, write_operations
+from reshard.sinks.files import read_shards, write_shards
 from reshard.sources.changelog import after
 from reshard.spec import TableSpec
 
@@ -27,6 +28,12 @@ def apply_log(target: DataFrame, events: DataFrame, spec: TableSpec) -> DataFram
     return apply_changes(target, compact_changes(single_key_operations(events, spec), spec), spec)
 
 
+def apply_log_to_shards(old_path: str, events: DataFrame, spec: TableSpec, new_path: str) -> None:
+    """Shard folders after these events, written beside the old ones, which stay as they are."""
+    target = read_shards(events.sparkSession, old_path)
+    write_shards(apply_log(target, events, spec), spec, new_path)
+
+
 def apply_log_to_databases(events: DataFrame, spec: TableSpec, connect: Connect, **options) -> None:
     """Net changes of these events, run on the shard databases. Also a handler's work for one micro-batch."""
     write_operations(compact_changes(single_key_operations(events, spec), spec), spec, connect, **options)

@@ -23,12 +23,10 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(session.conf.get("spark.checkpoint.dir"))
     yield session
     session.stop()
 

@@ -13,9 +13,9 @@ from helpers import ITEMS, Recorder, events_frame, operations_frame, random_oper
 from reshard.operators import loading, reports, routing
 from reshard.operators.folding import apply_changes, compact_changes
 from reshard.plans.batch_load import batch_load, load_databases, load_rows
-from reshard.plans.log_apply import apply_log
+from reshard.plans.log_apply import apply_log, apply_log_to_shards
 from reshard.sinks.database import write_operations
-from reshard.sinks.files import read_shards, save_bucketed
+from reshard.sinks.files import read_shards, save_bucketed, write_shards
 from reshard.sources import directory, snapshot
 from reshard.sources.changelog import stream_changelog
 from reshard.streaming.apply import stream_to_databases
@@ -40,6 +40,16 @@ def test_shard_files_are_sorted(spark, sf, tmp_path):
     assert "PartitionFilters: [isnotnull(shard" in plan_of(spark.read.parquet(path).where("shard = 3"))
 
 
+def test_shard_folders_after_a_log(spark, tmp_path):
+    operations, start = random_operations(22, 200, 30), {k: -k for k in range(0, 40, 3)}
+    rows = spark.createDataFrame([(0, k, v) for k, v in start.items()], "shard int, k bigint, v int")
+    write_shards(rows, ITEMS, f"{tmp_path}/v0")
+    apply_log_to_shards(f"{tmp_path}/v0", events_frame(spark, operations[:90]), ITEMS, f"{tmp_path}/v1")
+    apply_log_to_shards(f"{tmp_path}/v1", events_frame(spark, operations[90:]), ITEMS, f"{tmp_path}/v2")
+    assert rows_of(read_shards(spark, f"{tmp_path}/v2"), "k", "v") == sequential(operations, start)
+    assert rows_of(read_shards(spark, f"{tmp_path}/v0"), "k", "v") == sorted(start.items())
+
+
 def test_load_into_a_filled_target(spark, sf):
     rows = fx.build(spark, sf, fx.SNAPSHOT)
     loaded = load_rows(rows, fx.LIKES)
