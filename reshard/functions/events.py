@@ -17,9 +17,13 @@ WHITE_SPACE = (
 )
 
 
-def classify_dml(event: Column) -> Column:
-    """Kind of change named by a statement (any case) or a rows event (exact case)."""
-    word = F.btrim(F.split_part(event, F.lit(" "), F.lit(1)), F.lit(WHITE_SPACE))
+def first_word(event: Column) -> Column:
+    """What comes before the first space, without other white space around it."""
+    return F.btrim(F.split_part(event, F.lit(" "), F.lit(1)), F.lit(WHITE_SPACE))
+
+
+def word_kind(word: Column) -> Column:
+    """Kind of change by first word: of a statement (any case) or the name of a rows event (exact case)."""
     lower = F.lower(word)
     return (
         F.when((lower == "insert") | word.startswith("WriteRows"), INSERT)
@@ -29,6 +33,10 @@ def classify_dml(event: Column) -> Column:
     )
 
 
+def classify_dml(event: Column) -> Column:
+    return word_kind(first_word(event))
+
+
 def name_matches(name: Column, pattern: str) -> Column:
     """Case-insensitive: the whole name, or its beginning when the pattern ends in ``*``."""
     if not pattern:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reshard.functions.events import DELETE, INSERT, NO_DML, UPDATE, classify_dml, table_matches
+from reshard.functions.events import DELETE, INSERT, NO_DML, UPDATE, first_word, table_matches, word_kind
 from reshard.functions.positions import position
 from reshard.functions.values import image_value
 from reshard.session import broadcast_if_small
@@ -81,9 +81,13 @@ def expand_row_images(events: DataFrame) -> DataFrame:
     that cannot be expanded (these keep one row without images). Events without rows give no change.
     """
     element = events.schema["rows"].dataType.elementType.simpleString()
-    dml = classify_dml(F.col("event_name"))
-    reason = F.when(dml == NO_DML, UNKNOWN_DML).when((dml == UPDATE) & (F.size("rows") % 2 == 1), ODD_UPDATE)
-    prepared = events.select("*", dml.alias("dml"), reason.alias("reason"))
+    kind, unpaired = F.col("dml"), F.size("rows") % 2 == 1
+    prepared = events.select(
+        "*",
+        first_word(F.col("event_name")).alias("_word"),
+        word_kind(F.col("_word")).alias("dml"),
+        F.when(kind == NO_DML, UNKNOWN_DML).when((kind == UPDATE) & unpaired, ODD_UPDATE).alias("reason"),
+    )
     images = F.when(
         F.col("reason").isNotNull() & F.col("rows").isNotNull(), F.array(F.lit(None).cast(element))
     ).otherwise(F.col("rows"))
