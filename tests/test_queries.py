@@ -2,9 +2,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare, connect
-
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +13,7 @@ def tables(sf):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
