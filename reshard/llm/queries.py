@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reshard.llm.exact_dedup import exact_groups
+from reshard.llm.html import extract_main_text
 from reshard.llm.mixing import mix
 from reshard.llm.sharding import shuffle_to_shards
+from reshard.llm.toxicity import held_out, learn, toxicity_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,8 +41,26 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    out = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    grammar = learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity_scores(docs.select("doc_id", "text"), grammar)
+    return scored.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_sharding": op7_sharding,
+    "op9_html_extraction": op9_html_extraction,
+    "op10_toxicity": op10_toxicity,
 }
