@@ -60,8 +60,9 @@ def terms_of(text: str) -> set[str]:
 
 
 def signature(text: str) -> int:
-    """Smallest hash of the words: near copies mostly share it, so a group of copies counts once or a few times."""
-    return min((xxhash.xxh64_intdigest(w) >> 1 for w in set(WORD.findall(text.lower()))), default=0)
+    """Smallest hash of three neighbouring words: near copies mostly share it, so a group of them counts a few times."""
+    words = WORD.findall(text.lower())
+    return min((xxhash.xxh64_intdigest(" ".join(words[i : i + 3])) >> 1 for i in range(max(1, len(words) - 2))), default=0)
 
 
 @dataclass(frozen=True)
