@@ -1,5 +1,26 @@
 """The same results in DuckDB SQL, where SQL can express them."""
 
+OP3 = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+n AS (SELECT DISTINCT item, w[i:least(i + 12, len(w))] AS win FROM (
+  SELECT item, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)),
+p AS (SELECT r, w, unnest(generate_series(1, len(w))) AS i FROM d),
+m AS (SELECT DISTINCT p.r, p.i, len(win) AS l, item
+  FROM p JOIN (SELECT DISTINCT len(win) AS l FROM n) k ON i + l - 1 <= len(w) JOIN n ON n.win = w[i:i + l - 1]),
+h AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + l - 1)) AS x FROM m) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
+
 OP5 = """
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
@@ -41,4 +62,4 @@ g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP B
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM n JOIN g USING (norm)
 """
 
-ORACLES = {"op5_mixing": OP5, "op6_exact_dedup": OP6}
+ORACLES = {"op3_decontamination": OP3, "op5_mixing": OP5, "op6_exact_dedup": OP6}

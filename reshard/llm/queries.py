@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reshard.llm.decontamination import decontaminate
 from reshard.llm.exact_dedup import exact_groups
 from reshard.llm.html import extract_main_text
 from reshard.llm.mixing import mix
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that stand in a window of a benchmark item."""
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix."""
     mixed = mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
@@ -58,6 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_sharding": op7_sharding,
