@@ -49,10 +49,12 @@ def with_running(
     """Add the sum of all earlier rows of a group, in the order of a uniform 64-bit ``key`` (then ``_tie``), for each of
     ``totals``. ``count`` is about the number of rows and ``groups`` that of groups; they only choose the plan.
 
-    A group of any size is cut into ranges of the key, so that no task holds it whole: ranges are summed first, the
-    sums of earlier ranges are carried in, and only the rows of one range are sorted together. NULL is a group.
+    A group of any size is cut into ranges of the key, as many as there are shuffle partitions at least, so that no task
+    holds it whole: ranges are summed first, the sums of earlier ranges are carried in, and only the rows of one range
+    are sorted together. NULL is a group.
     """
-    bits = min(40, max(0, -(-count // bucket_rows) - 1).bit_length())
+    ranges = max(-(-count // bucket_rows), partitions(rows.sparkSession))
+    bits = min(40, (ranges - 1).bit_length())
     cut = rows.withColumn("_range", F.shiftrightunsigned(F.col(key), 64 - bits) if bits else F.lit(0).cast("long"))
     # The key is signed: its ranges follow the unsigned order, and so must the rows within.
     unsigned = F.col(key).bitwiseXOR(F.lit(-(2**63)))
