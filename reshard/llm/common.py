@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reshard.session import BROADCAST_ROWS, checkpointed
+from reshard.session import BROADCAST_ROWS, broadcast_if_small, checkpointed, new_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Words separated by ASCII white space.
@@ -96,6 +96,47 @@ def multivariate(rng: np.random.Generator, counts: list[int], drawn: int) -> lis
     return out
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written as Parquet to the shared folder and read from there: smaller than a checkpoint, lineage cut alike."""
+    folder = new_folder(rows.sparkSession, name)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def same(left: str, right: str, keys: list[str]) -> Column:
+    """Null-safe equality of the keys of two aliased sides."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return out
+
+
+def attach(rows: DataFrame, marks: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of long rows with what is known about some of them.
+
+    While the marked keys are few enough to be broadcast, only marked rows are shuffled; above that all rows are.
+    """
+    a, b = rows.alias("a"), marks.alias("b")
+    added = [F.col(f"b.{c}") for c in marks.columns if c not in keys]
+    marked = marks.select(*keys).distinct()
+    few = broadcast_if_small(marked)
+    if few is marked:
+        return a.join(b, same("a", "b", keys), "left").select("a.*", *added)
+    few = few.alias("b")
+    plain = a.join(few, same("a", "b", keys), "left_anti")
+    for c in marks.columns:
+        if c not in keys:
+            plain = plain.withColumn(c, F.lit(None).cast(marks.schema[c].dataType))
+    touched = a.join(few, same("a", "b", keys), "left_semi").alias("a")
+    return plain.unionByName(touched.join(b, same("a", "b", keys)).select("a.*", *added))
+
+
+def only(rows: DataFrame, keys_of: DataFrame, keys: list[str], keep: bool = True) -> DataFrame:
+    """Rows whose keys are (or are not) in another table; the keys are broadcast while they are few."""
+    few = broadcast_if_small(keys_of.select(*keys).distinct()).alias("b")
+    return rows.alias("a").join(few, same("a", "b", keys), "left_semi" if keep else "left_anti")
+
+
 # --- in Python tasks -------------------------------------------------------------------------------------------------
 
 

@@ -1,5 +1,21 @@
 """The same results in DuckDB SQL, where SQL can express them."""
 
+OP1 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+p AS (SELECT r, doc_id, i, list_aggregate(w[i:i + 49], 'string_agg', ' ') AS win
+  FROM (SELECT r, doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
+f AS (SELECT win, min(doc_id) AS first FROM p GROUP BY win HAVING count(DISTINCT doc_id) > 1),
+s AS (SELECT r, i FROM p JOIN f USING (win) WHERE first < doc_id),
+g AS (SELECT DISTINCT r, unnest(generate_series(i, i + 49)) AS x FROM s),
+a AS (SELECT r, list(x) AS gone FROM g GROUP BY r),
+k AS (
+  SELECT r, string_agg(word, ' ' ORDER BY x) AS kept
+  FROM (SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS x FROM d) t ANTI JOIN g USING (r, x) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN a USING (r) LEFT JOIN k USING (r)
+"""
+
 OP3 = """
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS r,
@@ -62,4 +78,4 @@ g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP B
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM n JOIN g USING (norm)
 """
 
-ORACLES = {"op3_decontamination": OP3, "op5_mixing": OP5, "op6_exact_dedup": OP6}
+ORACLES = {"op1_substring_dedup": OP1, "op3_decontamination": OP3, "op5_mixing": OP5, "op6_exact_dedup": OP6}

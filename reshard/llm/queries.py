@@ -10,6 +10,7 @@ from reshard.llm.exact_dedup import exact_groups
 from reshard.llm.html import extract_main_text
 from reshard.llm.mixing import mix
 from reshard.llm.sharding import shuffle_to_shards
+from reshard.llm.substring_dedup import remove_repeats
 from reshard.llm.toxicity import held_out, learn, toxicity_scores
 
 
@@ -17,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document outside runs of 50 words that an earlier document has."""
+    out = remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that stand in a window of a benchmark item."""
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -64,6 +71,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
