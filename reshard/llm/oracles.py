@@ -37,6 +37,24 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
+OP4 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+h AS (SELECT r, hex(b) AS x, octet_length(b)::BIGINT AS n FROM d),
+p AS (SELECT r, i, md5(substr(x, (2 * i - 1)::BIGINT, 800)) AS win
+  FROM (SELECT r, x, unnest(generate_series(1, n - 399)) AS i FROM h WHERE n >= 400)),
+f AS (SELECT win FROM p GROUP BY win HAVING count(*) > 1),
+s AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 400, TRUE) AS opens FROM p SEMI JOIN f USING (win)),
+g AS (SELECT r, i, sum(opens::INT) OVER (PARTITION BY r ORDER BY i) AS run FROM s),
+u AS (SELECT r, run, min(i) AS a, max(i) + 400 AS z FROM g GROUP BY r, run),
+k AS (SELECT r, count(*) AS spans, sum(z - a) AS gone FROM u GROUP BY r),
+e AS (SELECT r, coalesce(lag(z) OVER w, 1) AS a, u.a AS z, row_number() OVER w AS o FROM u WINDOW w AS (PARTITION BY r ORDER BY u.a)
+  UNION ALL SELECT u.r, max(z), any_value(n) + 1, 1000000000 FROM u JOIN h USING (r) GROUP BY u.r),
+t AS (SELECT r, string_agg(substr(x, (2 * a - 1)::BIGINT, (2 * (z - a))::BIGINT), '' ORDER BY o) AS kept FROM e JOIN h USING (r) GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d JOIN h USING (r) LEFT JOIN k USING (r) LEFT JOIN t USING (r)
+"""
+
 OP5 = """
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
@@ -78,4 +96,4 @@ g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP B
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM n JOIN g USING (norm)
 """
 
-ORACLES = {"op1_substring_dedup": OP1, "op3_decontamination": OP3, "op5_mixing": OP5, "op6_exact_dedup": OP6}
+ORACLES = {"op1_substring_dedup": OP1, "op3_decontamination": OP3, "op4_suffix_dedup": OP4, "op5_mixing": OP5, "op6_exact_dedup": OP6}

@@ -11,6 +11,7 @@ from reshard.llm.html import extract_main_text
 from reshard.llm.mixing import mix
 from reshard.llm.sharding import shuffle_to_shards
 from reshard.llm.substring_dedup import remove_repeats
+from reshard.llm.suffix_dedup import remove_repeated_bytes
 from reshard.llm.toxicity import held_out, learn, toxicity_scores
 
 
@@ -29,6 +30,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document outside strings of 400 bytes that begin anywhere else."""
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents"), with_bytes=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix."""
     mixed = mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
@@ -73,6 +80,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_sharding": op7_sharding,
