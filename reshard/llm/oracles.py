@@ -96,4 +96,22 @@ g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP B
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM n JOIN g USING (norm)
 """
 
-ORACLES = {"op1_substring_dedup": OP1, "op3_decontamination": OP3, "op4_suffix_dedup": OP4, "op5_mixing": OP5, "op6_exact_dedup": OP6}
+OP8 = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+p AS (SELECT DISTINCT r, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS s
+  FROM (SELECT r, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM p GROUP BY r),
+o AS (SELECT a.r AS a, b.r AS b, count(*) AS o FROM p a JOIN p b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON a = x.r JOIN n y ON b = y.r WHERE 100 * o >= 80 * (x.n + y.n - o)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (SELECT r, r AS z FROM d UNION SELECT c.r, e.b FROM c JOIN e ON c.z = e.a),
+k AS (SELECT c.r, min(t.doc_id) AS component_id FROM c JOIN d t ON c.z = t.r GROUP BY c.r),
+g AS (SELECT a AS r, count(*) AS n_links FROM e GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM d JOIN k USING (r) LEFT JOIN n USING (r) LEFT JOIN g USING (r)
+"""
+
+ORACLES = {"op8_jaccard_join": OP8, "op1_substring_dedup": OP1, "op3_decontamination": OP3, "op4_suffix_dedup": OP4, "op5_mixing": OP5, "op6_exact_dedup": OP6}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reshard.llm.decontamination import decontaminate
 from reshard.llm.exact_dedup import exact_groups
 from reshard.llm.html import extract_main_text
+from reshard.llm.jaccard_join import jaccard_components
 from reshard.llm.mixing import mix
 from reshard.llm.sharding import shuffle_to_shards
 from reshard.llm.substring_dedup import remove_repeats
@@ -61,6 +62,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar sets of shingles."""
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of each page."""
     out = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -84,6 +90,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_sharding": op7_sharding,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
 }
