@@ -105,7 +105,7 @@ def decontaminate(
     one_in: int = 20,
 ) -> DataFrame:
     """Per document: id, n_words, n_hit (words inside an occurrence of a window), n_items, items_sha256, contaminated
-    (at least one word of ``one_in`` is hit).
+    (at least one word of ``one_in`` is hit), text_sum (xxhash64 of the text, tells rows with equal ids apart).
 
     Whole texts are read. NULL and empty texts have no words and are clean, also against an empty benchmark. A word hit
     by several windows counts once. Rows with equal id and text get equal results; other columns are ignored.
@@ -134,4 +134,5 @@ def decontaminate(
         F.size(items_found).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_found, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (one_in * n_hit >= F.col("n_words"))).alias("contaminated"),
+        F.col("doc.sum").alias("text_sum"),
     )

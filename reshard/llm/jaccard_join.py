@@ -208,7 +208,7 @@ def jaccard_components(
     docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable by links), n_links (rows it is linked
-    with). Two rows are linked when their sets of distinct shingles have ``threshold`` hundredths of the union in common.
+    with), text_sum (xxhash64 of the lower-cased text, tells rows with equal ids apart). Two rows are linked when their sets of distinct shingles have ``threshold`` hundredths of the union in common.
 
     1. Equal texts, later equal sets, are one set with a weight.
     2. Only sets that share enough of the sample of their smallest hashes with others can have a link; the rest is done.
@@ -279,4 +279,5 @@ def jaccard_components(
         F.col("n").cast("long").alias("n_shingles"),
         F.col("lowest").alias("component_id"),
         F.col("links").alias("n_links"),
+        F.col("doc.sum").alias("text_sum"),
     )

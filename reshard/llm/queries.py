@@ -28,7 +28,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that stand in a window of a benchmark item."""
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_sum")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with similar sets of shingles."""
-    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_sum")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
