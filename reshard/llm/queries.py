@@ -9,6 +9,7 @@ from reshard.llm.decontamination import decontaminate
 from reshard.llm.exact_dedup import exact_groups
 from reshard.llm.html import extract_main_text
 from reshard.llm.jaccard_join import jaccard_components
+from reshard.llm.line_dedup import dedup_lines
 from reshard.llm.mixing import mix
 from reshard.llm.sharding import shuffle_to_shards
 from reshard.llm.substring_dedup import remove_repeats
@@ -26,6 +27,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document that are no later occurrence of an equal or similar line."""
+    return dedup_lines(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that stand in a window of a benchmark item."""
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_sum")
@@ -85,6 +91,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mixing": op5_mixing,
