@@ -82,7 +82,8 @@ def live_anchors(index: DataFrame) -> DataFrame:
         F.max("id").alias("last"),
         F.bool_or(F.col("id").isNull()).alias("open"),
     )
-    shared = shared.where(F.col("first").isNotNull() & (F.col("open") | (F.col("first") < F.col("last"))))
+    # Stored, so that the join meets plain exchanges, whose crowded partitions can be split.
+    shared = stored(shared.where(F.col("first").isNotNull() & (F.col("open") | (F.col("first") < F.col("last")))))
     met = index.join(shared, "anchor")
     probes = F.coalesce(F.col("first") < F.col("id"), F.lit(True))
     blocks = F.col("block") & F.col("id").isNotNull() & (F.col("open") | (F.col("last") > F.col("id")))
@@ -151,7 +152,7 @@ def repeated_windows(
     rows = only(rows, copies, ["id", "sum"], keep=False)
     live = stored(live_anchors(block_index(rows, width)))
     windows = written(extended(only(rows, live, ["id"]), live, width), "windows")
-    first = windows.where("earlier").groupBy("w1", "w2").agg(F.min("id").alias("first"))
+    first = stored(windows.where("earlier").groupBy("w1", "w2").agg(F.min("id").alias("first")))
     found = windows.where("later").select("w1", "w2", "id", "sum", "at").join(first, ["w1", "w2"])
     found = found.where(F.col("first").isNotNull() & F.coalesce(F.col("first") < F.col("id"), F.lit(True)))
     starts = found.groupBy("id", "sum").agg(F.collect_set("at").alias("starts"))  # at most one per word
