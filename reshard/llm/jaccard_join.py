@@ -229,7 +229,8 @@ def jaccard_components(
 
     samples = written(sampled(single, threshold), "samples")
     hashes = samples.select("doc", "need", F.explode("sample").alias("h"))
-    shared = hashes.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    # Stored, so that the join meets plain exchanges, whose crowded partitions can be split.
+    shared = stored(hashes.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
     met = written(hashes.join(shared, "h"), "shared")
     enough = met.groupBy("doc", "need").agg(F.count("*").alias("q")).where("q >= need")
     enough = stored(enough.select("doc", (F.col("q") - F.col("need") + 1).alias("keep")))

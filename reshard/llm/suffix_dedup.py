@@ -291,7 +291,7 @@ def compared(parts: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["anchor", "h1", "h2", "w1", "w2", "at"])
 
     found = written(parts.mapInArrow(windows, "anchor bigint, h1 bigint, h2 bigint, w1 bigint, w2 bigint, at int"), "windows")
-    twice = found.groupBy("w1", "w2").agg(F.count("*").alias("c")).where("c > 1").drop("c")
+    twice = stored(found.groupBy("w1", "w2").agg(F.count("*").alias("c")).where("c > 1").drop("c"))
     return found.join(twice, ["w1", "w2"]).select("anchor", "h1", "h2", "at", F.lit(1).alias("n"))
 
 
@@ -316,7 +316,8 @@ def repeated_runs(docs: DataFrame, width: int = REPEAT_BYTES, id_col: str = "doc
     singles = only(rows, copies.where("NOT is_first"), KEYS, keep=False)
 
     counts = anchor_counts(singles, width)
-    shared = counts.groupBy("anchor").agg(F.sum("n").alias("c")).where("c > 1").drop("c")
+    # Stored, so that joins meet plain exchanges, whose crowded partitions can be split.
+    shared = stored(counts.groupBy("anchor").agg(F.sum("n").alias("c")).where("c > 1").drop("c"))
     live = counts.drop("n").join(shared, "anchor").groupBy(*KEYS).agg(F.collect_set("anchor").alias("anchors"))
     live = stored(live)
 
@@ -325,7 +326,7 @@ def repeated_runs(docs: DataFrame, width: int = REPEAT_BYTES, id_col: str = "doc
     kinds = runs.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("c"), one.alias("one"))
     kinds = stored(kinds.select("anchor", "h1", "h2", "c", "one", F.col("one.n").alias("n")))
     groups = kinds.groupBy("anchor").agg(F.sum(F.col("n") + width - 1).alias("bytes"), F.count("*").alias("different"))
-    groups = groups.where("different > 1").select("anchor", (F.col("bytes") > GROUP_BYTES).alias("large"))
+    groups = stored(groups.where("different > 1").select("anchor", (F.col("bytes") > GROUP_BYTES).alias("large")))
     chosen = kinds.join(groups, "anchor").select("one.id", "one.sum", "one.at", "anchor", "h1", "h2", "n", "large")
     parts = written(
         run_texts(singles, chosen, width).join(groups.where("large"), "anchor", "left").withColumn("large", F.coalesce("large", F.lit(False))),
