@@ -133,6 +133,7 @@ def _likes(**changed) -> TableSpec:
 LIKES = _likes()
 ALL_LIKES = _likes(shard_filter=None)
 LOGGED_LIKES = _likes(source="source")
+STAYING_LIKES = _likes(source="source", on_key_move="same_shard_only")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -169,6 +170,20 @@ def row_events(spark: SparkSession, sf_dir: str, element: str = "bigint") -> Dat
     return _events_of(build(spark, sf_dir, CHANGES), element)
 
 
+def rotating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows events that do not know their log file, and the rotations that tell it; ``part`` keeps a log file together."""
+    events = row_events(spark, sf_dir)
+    part = (F.regexp_extract("log_file", r"([0-9]+)$", 1).cast("bigint") % 4).alias("part")
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in events.dtypes]
+    moved = {
+        "source": F.col("source"), "seq": F.col("first") - 1, "log_pos": F.lit(4).cast("bigint"),
+        "event_name": F.lit("RotateEvent"), "next_log_name": F.col("log_file"),
+    }
+    files = events.groupBy("source", "log_file").agg(F.min("seq").alias("first"))
+    turns = files.select(*[moved[n].alias(n) if n in moved else c for n, c in zip(events.columns, nothing)], part)
+    return events.select("*", part).withColumn("log_file", F.lit(None).cast("string")).unionByName(turns)
+
+
 def faulty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows events with unknown kinds, unpaired update images and missing keys."""
     changes = build(spark, sf_dir, CHANGES)

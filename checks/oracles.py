@@ -114,6 +114,11 @@ SELECT o.* FROM ({OPS}) o JOIN ({POSITIONS}) p ON o.source = p.source
 WHERE o.log_file > p.log_file OR (o.log_file = p.log_file AND o.log_pos > p.log_pos)
 """
 
+OPS_PARTLY_BEHIND = f"""
+SELECT o.* FROM ({OPS}) o LEFT JOIN ({POSITIONS}) p ON o.source = p.source AND o.source = 'db-a'
+WHERE p.source IS NULL OR o.log_file > p.log_file OR (o.log_file = p.log_file AND o.log_pos > p.log_pos)
+"""
+
 # First entry per alias, taken apart by position of the separators.
 _ALIASES = f"""
 SELECT entry_no, split_part(entry, ':', 1) AS alias, split_part(entry, ':', 2) AS place,
@@ -230,10 +235,18 @@ SELECT seq, CAST(seq AS VARCHAR) || ',' || CASE WHEN g % 3 <> 0 THEN CAST(create
     "route_changes": f"SELECT * FROM ({ROUTED}) r WHERE shard <> 5",
     "route_snapshot": f"SELECT id, user_id, recording_id, created_on, {_shard('user_id')} AS shard FROM ({SNAP}) s WHERE {_shard('user_id')} <> 5",
     "split_key_moves": OPS,
+    "split_same_shard_only": f"""
+SELECT o.* FROM ({OPS}) o WHERE NOT EXISTS (SELECT 1 FROM ({MATCHED}) m WHERE m.source = o.source AND m.log_file = o.log_file
+  AND m.log_pos = o.log_pos AND m.row_idx = o.row_idx AND m.dml = 'Update' AND {_shard('m.user_id')} <> {_shard('m.new_user_id')})""",
     "key_move_audit": f"""
 SELECT {_shard('user_id')} AS old_shard, {_shard('new_user_id')} AS new_shard, count(*) AS moves FROM ({MATCHED}) m
 WHERE dml = 'Update' AND {_shard('user_id')} <> {_shard('new_user_id')} GROUP BY 1, 2""",
     "insert_ignore": f"SELECT shard, user_id, recording_id, created_on FROM ({LOADED}) l",
+    "load_rejects": f"""
+SELECT 'loaded' AS outcome, user_id, recording_id, created_on FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, recording_id ORDER BY id) AS rn FROM ({SNAP}) s WHERE id % 19 <> 7) t
+WHERE rn = 1 AND {_shard('user_id')} <> 5
+UNION ALL SELECT 'rejected', user_id, NULL, created_on FROM ({SNAP}) s WHERE id % 19 = 7""",
     "insert_ignore_existing": f"""
 SELECT shard, user_id, recording_id, created_on, source FROM ({LOADED}) l WHERE NOT EXISTS (SELECT 1 FROM ({_net(OPS)}) n
   WHERE n.op = 'I' AND n.source = l.source AND n.user_id = l.user_id AND n.recording_id = l.recording_id)""",
@@ -270,6 +283,8 @@ FROM (SELECT source, CAST(id // 200 AS BIGINT) AS chunk, count(*) AS rows FROM (
     "compact_changes": _net(OPS),
     "apply_changes": _merged(LOADED, _net(OPS)),
     "bootstrap_state": _merged(LOADED, _net(OPS_BEHIND)),
+    "bootstrap_partial_starts": _merged(LOADED, _net(OPS_PARTLY_BEHIND)),
+    "apply_changes_one_shard": f"SELECT * FROM ({_merged(LOADED, _net(OPS))}) m WHERE shard = 3",
     "apply_progress": f"""
 SELECT o.shard, count(*) FILTER (o.log_file < p.log_file OR (o.log_file = p.log_file AND o.log_pos <= p.log_pos)) AS executed,
   count(*) AS pushed,
@@ -308,7 +323,10 @@ SELECT host, seq, CASE WHEN seq % 5 <> 0 THEN CAST(floor((observed_ns - heartbea
     "stream_resume": f"""
 SELECT source, log_file, log_pos FROM (SELECT *, row_number() OVER (PARTITION BY source
   ORDER BY log_file DESC, log_pos DESC) AS rn FROM ({CHG}) c) t WHERE rn = 1""",
-    "throttled_apply": f"SELECT host, shard, held, count(*) AS operations FROM ({_PLACED.format(rows=OPS)}) p GROUP BY 1, 2, 3",
+    "stream_rotating": f"SELECT source, shard, user_id, recording_id, created_on FROM ({_net(OPS)}) n WHERE op = 'I'",
+    "throttled_apply": f"""
+SELECT source, shard, user_id, recording_id, created_on FROM ({_PLACED.format(rows=_net(OPS))}) p WHERE op = 'I' AND NOT held""",
+    "throttled_release": f"SELECT source, shard, user_id, recording_id, created_on FROM ({_net(OPS)}) n WHERE op = 'I'",
     "listener_fanout": f"""
 SELECT 'likes' AS listener, count(*) AS rows FROM ({MATCHED}) m
 UNION ALL SELECT 'comments', count(*) FROM ({CHG}) c WHERE table_name = 'comment'

@@ -263,6 +263,12 @@ def split_key_moves(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(_operations(spark, sf))
 
 
+@query
+def split_same_shard_only(spark: SparkSession, sf: str) -> DataFrame:
+    """Key moves to another shard are left out."""
+    return _flat(routing.split_key_moves(_typed(spark, sf), fx.STAYING_LIKES))
+
+
 @query
 def key_move_audit(spark: SparkSession, sf: str) -> DataFrame:
     return routing.key_move_audit(_typed(spark, sf), fx.LOGGED_LIKES)
@@ -276,6 +282,17 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     return load_rows(_snapshot(spark, sf), fx.LIKES)
 
 
+@query
+def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a complete key are handed over, the others loaded."""
+    refused: list[DataFrame] = []
+    rows = _snapshot(spark, sf).withColumn("recording_id", F.when(F.col("id") % 19 != 7, F.col("recording_id")))
+    loaded = load_rows(rows, fx.LIKES, rejects=refused.append)
+    wanted = ["user_id", "recording_id", "created_on"]
+    kept = loaded.select(F.lit("loaded").alias("outcome"), *wanted)
+    return kept.unionByName(refused[0].select(F.lit("rejected").alias("outcome"), *wanted))
+
+
 @query
 def insert_ignore_existing(spark: SparkSession, sf: str) -> DataFrame:
     """Load into shards that the log has already filled in part."""
@@ -334,7 +351,7 @@ def shard_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rows_processed(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.rows_processed(snapshot.chunk_plan(_snapshot(spark, sf), 200, by=("source",)), chunk_rows=20)
+    return reports.rows_processed(snapshot.chunk_plan(_snapshot(spark, sf), 200, by=("source",)), partitions=5)
 
 
 # Applying the log
@@ -360,6 +377,21 @@ def bootstrap_state(spark: SparkSession, sf: str) -> DataFrame:
     return log_apply.bootstrap_state(_snapshot(spark, sf), fx.row_events(spark, sf), _starts(spark, sf), fx.LOGGED_LIKES)
 
 
+@query
+def bootstrap_partial_starts(spark: SparkSession, sf: str) -> DataFrame:
+    """One source has no saved start: its log is applied from the beginning."""
+    starts = _starts(spark, sf).where("source = 'db-a'")
+    return log_apply.bootstrap_state(_snapshot(spark, sf), fx.row_events(spark, sf), starts, fx.LOGGED_LIKES)
+
+
+@query
+def apply_changes_one_shard(spark: SparkSession, sf: str) -> DataFrame:
+    """Apply the log to one shard folder only."""
+    path = new_folder(spark, "shards")
+    files.write_shards(load_rows(_snapshot(spark, sf), fx.LOGGED_LIKES), fx.LOGGED_LIKES, path)
+    return apply_log(files.read_shards(spark, path), fx.row_events(spark, sf), fx.LOGGED_LIKES, shards=[3])
+
+
 @query
 def apply_progress(spark: SparkSession, sf: str) -> DataFrame:
     return reports.apply_progress(_operations(spark, sf), _positions(spark, sf))
@@ -412,7 +444,7 @@ def replica_lag(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def pause_transitions(spark: SparkSession, sf: str) -> DataFrame:
-    return lag.pause_transitions(fx.build(spark, sf, fx.HEARTBEATS), chunk_rows=1000)
+    return lag.pause_transitions(fx.build(spark, sf, fx.HEARTBEATS), partitions=7)
 
 
 @query
@@ -455,15 +487,54 @@ def stream_apply(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
-    return _streamed(spark, sf).positions(spark)
+    """Half of the log, a stop, the other half, and another run on the same state."""
+    log, path, state = fx.row_events(spark, sf), new_folder(spark, "landed"), new_folder(spark, "state")
+    late = F.col("seq") > log.agg((F.min("seq") + F.max("seq")) / 2).scalar()
+    for part in (log.where(~late), log.where(late)):
+        part.write.mode("append").parquet(path)
+        apply = StreamApply(fx.LOGGED_LIKES, state)
+        apply.start(changelog.stream_changelog(spark, path), every=None).awaitTermination()
+    return apply.positions(spark)
+
+
+@query
+def stream_rotating(spark: SparkSession, sf: str) -> DataFrame:
+    """A log that names its files by rotations, landed in four parts, one of them late."""
+    log, path = fx.rotating_events(spark, sf), new_folder(spark, "landed")
+    for part in (0, 2, 3, 1):
+        log.where(F.col("part") == part).drop("part").write.mode("append").parquet(path)
+    apply = StreamApply(fx.LOGGED_LIKES, new_folder(spark, "state"), rotating=True)
+    per_trigger = max(1, spark.sparkContext.defaultParallelism)
+    apply.start(changelog.stream_changelog(spark, path, files_per_trigger=per_trigger), every=None).awaitTermination()
+    return apply.current(spark)
+
+
+def _throttled(spark: SparkSession, sf: str) -> StreamApply:
+    latest = lag.replica_lag(fx.build(spark, sf, fx.HEARTBEATS))
+    places = _directory(spark, sf)
+
+    def hold(facts: DataFrame) -> DataFrame:
+        return lag.throttle_split(facts, places, latest, fx.LOGGED_LIKES)
+
+    path, per_trigger = _land_log(spark, sf)
+    apply = StreamApply(fx.LOGGED_LIKES, new_folder(spark, "state"), hold=hold)
+    apply.start(changelog.stream_changelog(spark, path, files_per_trigger=per_trigger), every=None).awaitTermination()
+    return apply
 
 
 @query
 def throttled_apply(spark: SparkSession, sf: str) -> DataFrame:
-    """Apply only what is not held; the rest waits for its host."""
-    latest = lag.replica_lag(fx.build(spark, sf, fx.HEARTBEATS))
-    marked = lag.throttle_split(_operations(spark, sf), _directory(spark, sf), latest, fx.LOGGED_LIKES)
-    return marked.groupBy("host", "shard", "held").agg(F.count("*").alias("operations"))
+    """Rows after a run in which changes for hosts that are behind were held."""
+    return _throttled(spark, sf).current(spark)
+
+
+@query
+def throttled_release(spark: SparkSession, sf: str) -> DataFrame:
+    """The same after the hosts have caught up."""
+    apply = _throttled(spark, sf)
+    apply.hold = None
+    apply.release(spark)
+    return apply.current(spark)
 
 
 @query

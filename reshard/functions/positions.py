@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NUMBER = r"\A[+-]?[0-9]+\z"
+# Fixed value: how names of detached log files look.
 _DETACHED = r"//([^/:]+):([\d]+)"
 
 

@@ -42,11 +42,17 @@ def image_text(image: Column) -> Column:
     return F.array_join(image.cast("array<string>"), ",", "<nil>")
 
 
-def image_value(image: Column, column: ColumnSpec) -> Column:
-    """Typed value of one column of a row image; NULL when the image is too short."""
+def image_value(image: Column, column: ColumnSpec, binary: bool | None = None) -> Column:
+    """Typed value of one column of a row image; NULL when the image is too short.
+
+    An image of bytes has latin1 columns as the database stores them. An image of text holds decoded text already;
+    bytes that travel in text messages should be sent base64-coded and unpacked with ``unbase64`` before.
+    """
     raw = F.get(image, F.lit(column.ordinal))
     if column.charset == "latin1":
-        return latin1_text(raw.cast("binary"))
+        return raw.cast("string") if binary is False else latin1_text(raw.cast("binary"))
+    if binary and column.type != "binary":
+        raw = raw.cast("string")
     if column.unsigned:
         return unsigned_value(raw.cast("bigint"), column.bits)
     return raw.cast(column.type)

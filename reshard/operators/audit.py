@@ -13,18 +13,18 @@ from reshard.functions.positions import (
     next_file,
     previous_file,
 )
-from reshard.operators.ordered import CHUNK_ROWS, with_previous
+from reshard.operators.ordered import with_previous
 
 
-def log_gap_audit(changes: DataFrame, numeric_order: bool = False, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def log_gap_audit(changes: DataFrame, numeric_order: bool = False, partitions: int | None = None) -> DataFrame:
     """Per source and log file: distance to the file before, expected neighbours, gap, backward steps.
 
     Files are ordered by name; ``numeric_order`` uses their number instead. The file list is small (one
-    row per file), and offsets are compared inside chunks of a file.
+    row per file), and offsets are compared inside ranges of a file.
     """
     stepped = with_previous(
         changes.select("source", "log_file", "seq", "log_pos"),
-        ["source", "log_file"], "seq", "log_pos", "_before", chunk_rows=chunk_rows,
+        ["source", "log_file"], "seq", "log_pos", "_before", partitions=partitions,
     )
     files = stepped.groupBy("source", "log_file").agg(
         F.count("*").alias("rows"),

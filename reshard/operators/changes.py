@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from reshard.functions.events import DELETE, INSERT, NO_DML, UPDATE, first_word, table_matches, word_kind
 from reshard.functions.positions import position
@@ -18,6 +20,7 @@ ROTATION = "RotateEvent"
 UNKNOWN_DML = "unknown_dml"
 ODD_UPDATE = "odd_update_images"
 NULL_KEY = "null_key"
+NO_LOG_FILE = "no_log_file"
 
 
 def rotations(events: DataFrame) -> DataFrame:
@@ -115,18 +118,16 @@ def match_tables(changes: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def project_row_image(image: Column, spec: TableSpec) -> Column:
-    """Typed struct of the copied columns; NULL for a missing image."""
-    return F.when(
-        image.isNotNull(), F.struct(*[image_value(image, column).alias(column.name) for column in spec.columns])
-    )
+def project_row_image(image: Column, spec: TableSpec, binary: bool | None = None) -> Column:
+    """Typed struct of the copied columns; NULL for a missing image. ``binary`` tells whether the image holds bytes."""
+    values = [image_value(image, column, binary).alias(column.name) for column in spec.columns]
+    return F.when(image.isNotNull(), F.struct(*values))
 
 
 def project_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """Replace positional images by typed structs, and mark rows whose key is not complete."""
-    typed = changes.withColumns(
-        {"before": project_row_image(F.col("before"), spec), "after": project_row_image(F.col("after"), spec)}
-    )
+    binary = isinstance(changes.schema["before"].dataType.elementType, BinaryType)
+    typed = changes.withColumns({side: project_row_image(F.col(side), spec, binary) for side in ("before", "after")})
 
     def incomplete(image: str) -> Column:
         missing = F.lit(False)
@@ -144,11 +145,40 @@ def accepted(changes: DataFrame) -> DataFrame:
     return changes.where(F.col("reason").isNull()).drop("reason")
 
 
+# What becomes of changes and rows that cannot be routed: a handler gets them, a path stores them, and None lets the
+# job fail at the first one.
+Rejects = Callable[[DataFrame], None] | str | None
+
+
+def hand_over(refused: DataFrame, rejects: Rejects) -> None:
+    """Give refused rows to the handler, or append them to the path."""
+    if callable(rejects):
+        rejects(refused)
+    elif rejects is not None:
+        refused.write.mode("append").parquet(rejects)
+
+
+def routable(changes: DataFrame, rejects: Rejects = None) -> DataFrame:
+    """Changes without a reason against them; the others are handed over, or fail the job."""
+    if rejects is not None:
+        hand_over(rejected(changes), rejects)
+        return accepted(changes)
+    text = F.concat(F.lit("a change cannot be routed: "), F.col("reason"))
+    checked = F.when(F.col("reason").isNotNull(), F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    return changes.where(checked).drop("reason")
+
+
 def rejected(changes: DataFrame) -> DataFrame:
     """Changes that cannot be routed, with the reason; nothing is dropped silently."""
     return changes.where(F.col("reason").isNotNull())
 
 
+def placed_in_log(changes: DataFrame) -> DataFrame:
+    """Mark changes whose log file is not known: they cannot be ordered."""
+    lost = F.when(F.col("log_file").isNull(), NO_LOG_FILE)
+    return changes.withColumn("reason", F.coalesce(F.col("reason"), lost))
+
+
 def count_rejects(changes: DataFrame) -> DataFrame:
     return rejected(changes).groupBy("reason").agg(F.count("*").alias("rows"))
 

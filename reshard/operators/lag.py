@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reshard.operators.ordered import CHUNK_ROWS, with_previous
+from reshard.operators.ordered import with_previous
 from reshard.operators.routing import with_database
 from reshard.spec import TableSpec
 
@@ -30,11 +30,11 @@ def replica_lag(heartbeats: DataFrame) -> DataFrame:
     return latest.withColumn("paused", F.col("lag_ns") > MAX_LAG_NS)
 
 
-def pause_transitions(heartbeats: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def pause_transitions(heartbeats: DataFrame, partitions: int | None = None) -> DataFrame:
     """Measurements at which a host's pause flag changes; it starts as not paused."""
     flags = measured(heartbeats).select("host", "seq", "lag_ns", "paused")
     return (
-        with_previous(flags, ["host"], "seq", "paused", "_was", F.lit(False), chunk_rows)
+        with_previous(flags, ["host"], "seq", "paused", "_was", F.lit(False), partitions)
         .where(F.col("paused") != F.col("_was"))
         .drop("_was")
     )

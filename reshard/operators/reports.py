@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reshard.functions.positions import position
-from reshard.operators.ordered import CHUNK_ROWS, with_running_total
+from reshard.operators.ordered import with_running_total
 from reshard.operators.routing import INSERT_IGNORE, REMOVE, REVISE, UPSERT
 from reshard.session import broadcast_if_small
 from reshard.spec import TableSpec
@@ -38,10 +38,10 @@ def last_position(changes: DataFrame) -> DataFrame:
     return newest.select("source", "_last.log_file", "_last.log_pos")
 
 
-def rows_processed(chunks: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def rows_processed(chunks: DataFrame, partitions: int | None = None) -> DataFrame:
     """Running total of rows per source over a chunk plan (one row per chunk)."""
     plan = chunks.select("source", "chunk", "rows")
-    return with_running_total(plan, ["source"], "chunk", "rows", "rows_processed", chunk_rows)
+    return with_running_total(plan, ["source"], "chunk", "rows", "rows_processed", partitions)
 
 
 def _where(spec: TableSpec) -> str:

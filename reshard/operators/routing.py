@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reshard.functions.events import DELETE, INSERT, UPDATE
 from reshard.functions.hashing import database_alias, hash_key, shard_index
 from reshard.functions.positions import change_position
+from reshard.session import broadcast_if_small
 from reshard.spec import SPLIT, TableSpec
 
 # Kinds of routed operation.
@@ -18,9 +19,7 @@ REMOVE = "D"
 
 
 def shard_of(key: Column, spec: TableSpec) -> Column:
-    column = spec.column(spec.shard_by)
-    kind = "decimal(20,0)" if column.unsigned and column.bits == 64 else column.type
-    return shard_index(hash_key(key, kind), spec.shard_num, spec.location)
+    return shard_index(hash_key(key, _type_of(spec.column(spec.shard_by))), spec.shard_num, spec.location)
 
 
 def keep_shards(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -42,6 +41,14 @@ def snapshot_accepted(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.dropna("any", subset=list(spec.key))
 
 
+def snapshot_complete(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """All rows; the job fails at the first one with an incomplete key."""
+    missing = F.raise_error(F.lit(f"a row of {spec.table} has no complete key"))
+    return rows.withColumns(
+        {k: F.when(F.col(k).isNull(), missing.cast(rows.schema[k].dataType)).otherwise(F.col(k)) for k in spec.key}
+    )
+
+
 def _operation(op: str, key_image: Column, values: Column | None, sub: int, spec: TableSpec, shard: Column) -> Column:
     empty = F.lit(None).cast("struct<" + ",".join(f"{c.name}:{_type_of(c)}" for c in spec.columns) + ">")
     return F.struct(
@@ -133,15 +140,16 @@ def key_move_audit(changes: DataFrame, spec: TableSpec) -> DataFrame:
 def with_database(rows: DataFrame, directory: DataFrame, spec: TableSpec) -> DataFrame:
     """Add database, host and port of every row's shard.
 
-    Only the aliases the table can use are joined, so at most one row per database is broadcast.
+    Only the aliases the table can use are joined, each once, so at most one row per database is broadcast.
     """
     databases = -(-spec.table_count // spec.replication)
     used = rows.sparkSession.range(databases).select(
         F.concat(F.lit("shard"), F.col("id").cast("string")).alias("alias")
     )
-    places = directory.join(F.broadcast(used), "alias", "left_semi")
+    others = [F.first(c).alias(c) for c in directory.columns if c != "alias"]
+    places = directory.join(F.broadcast(used), "alias", "left_semi").groupBy("alias").agg(*others)
     return rows.withColumn("alias", database_alias(F.col("shard"), spec.replication)).join(
-        F.broadcast(places), "alias", "left"
+        broadcast_if_small(places), "alias", "left"
     )
 
 

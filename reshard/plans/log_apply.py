@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Collection
 
-from reshard.operators.changes import accepted, expand_row_images, match_tables, project_changes
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from reshard.operators.changes import (
+    Rejects,
+    expand_row_images,
+    match_tables,
+    placed_in_log,
+    project_changes,
+    routable,
+)
 from reshard.operators.folding import apply_changes, compact_changes
 from reshard.operators.routing import split_key_moves
 from reshard.plans.batch_load import load_rows
@@ -19,30 +29,68 @@ def typed_changes(events: DataFrame, spec: TableSpec) -> DataFrame:
     return project_changes(expand_row_images(match_tables(events, spec)), spec)
 
 
-def single_key_operations(events: DataFrame, spec: TableSpec) -> DataFrame:
-    """Operations of the wanted tables, each on one key, with filtered shards already gone."""
-    return split_key_moves(accepted(typed_changes(events, spec)), spec)
+def single_key_operations(events: DataFrame, spec: TableSpec, rejects: Rejects = None) -> DataFrame:
+    """Operations of the wanted tables, each on one key, with filtered shards already gone.
+
+    Changes that cannot be routed go to ``rejects``; without one the job fails at the first of them.
+    """
+    return split_key_moves(routable(placed_in_log(typed_changes(events, spec)), rejects), spec)
+
+
+def only_shards(rows: DataFrame, shards: Collection[int] | None) -> DataFrame:
+    return rows if shards is None else rows.where(F.col("shard").isin(*shards))
+
+
+def touched_shards(events: DataFrame, spec: TableSpec, rejects: Rejects = None) -> list[int]:
+    """Shards these events change; at most one number per shard."""
+    return sorted(r["shard"] for r in single_key_operations(events, spec, rejects).select("shard").distinct().collect())
 
 
-def apply_log(target: DataFrame, events: DataFrame, spec: TableSpec) -> DataFrame:
-    return apply_changes(target, compact_changes(single_key_operations(events, spec), spec), spec)
+def apply_log(
+    target: DataFrame,
+    events: DataFrame,
+    spec: TableSpec,
+    rejects: Rejects = None,
+    shards: Collection[int] | None = None,
+) -> DataFrame:
+    """Target rows after the events. ``shards`` limits both sides before they meet, down to the files of the target."""
+    operations = only_shards(single_key_operations(events, spec, rejects), shards)
+    return apply_changes(only_shards(target, shards), compact_changes(operations, spec), spec)
 
 
-def apply_log_to_shards(old_path: str, events: DataFrame, spec: TableSpec, new_path: str) -> None:
-    """Shard folders after these events, written beside the old ones, which stay as they are."""
+def apply_log_to_shards(
+    old_path: str,
+    events: DataFrame,
+    spec: TableSpec,
+    new_path: str,
+    rejects: Rejects = None,
+    shards: Collection[int] | None = None,
+) -> None:
+    """Shard folders after these events, written beside the old ones, which stay as they are.
+
+    With ``shards`` (as from ``touched_shards``) only those are read and written; the other folders stay valid.
+    """
     target = read_shards(events.sparkSession, old_path)
-    write_shards(apply_log(target, events, spec), spec, new_path)
+    write_shards(apply_log(target, events, spec, rejects, shards), spec, new_path)
 
 
-def apply_log_to_databases(events: DataFrame, spec: TableSpec, connect: Connect, **options) -> None:
-    """Net changes of these events, run on the shard databases. Also a handler's work for one micro-batch."""
-    write_operations(compact_changes(single_key_operations(events, spec), spec), spec, connect, **options)
+def apply_log_to_databases(
+    events: DataFrame, spec: TableSpec, connect: Connect, rejects: Rejects = None, **options
+) -> None:
+    """Net changes of these events, run on the shard databases."""
+    operations = single_key_operations(events, spec, rejects)
+    write_operations(compact_changes(operations, spec), spec, connect, **options)
 
 
-def bootstrap_state(snapshot: DataFrame, events: DataFrame, starts: DataFrame, spec: TableSpec) -> DataFrame:
-    """Snapshot, then the log behind ``starts`` (source, start position).
+def bootstrap_state(
+    snapshot: DataFrame, events: DataFrame, starts: DataFrame, spec: TableSpec, rejects: Rejects = None
+) -> DataFrame:
+    """Snapshot, then the log behind ``starts`` (source, start position); all of it for sources without a start.
 
     The start must not be later than the moment the snapshot began: applying older changes again is
-    harmless, missing newer ones is not.
+    harmless, missing newer ones is not. ``rejects`` gets refused rows of the snapshot and refused changes; a path is
+    a folder with one part for each.
     """
-    return apply_log(load_rows(snapshot, spec), after(events, starts), spec)
+    of_rows, of_log = (f"{rejects}/{p}" if isinstance(rejects, str) else rejects for p in ("snapshot", "log"))
+    rows = load_rows(snapshot, spec, rejects=of_rows)
+    return apply_log(rows, after(events, starts, keep_unknown=True), spec, of_log)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
 from itertools import groupby
 from typing import Any
 
@@ -61,29 +62,38 @@ def write_operations(
     batches and failed tasks are simply tried again. Rows that insert-ignore go out as one statement per
     batch. A large shard is spread over several tasks, each with its own connection; ``tasks`` bounds them.
     """
-    keys = ["shard", *spec.order]
+    keys = ["shard", *spec.order_of("vals")]
     placed = operations.repartitionByRange(tasks, *keys) if tasks else operations.repartitionByRange(*keys)
     ordered = placed.sortWithinPartitions(*keys)
 
     def run(rows: Iterator[Row]) -> None:
         shard_open, connection = None, None
-        for shard, batch in _batches(rows, batch_rows):
-            for attempt in range(1, attempts + 1):
-                try:
-                    if connection is None or shard != shard_open:
-                        if connection is not None:
-                            connection.close()
-                        connection, shard_open = None, shard
-                        connection = connect(shard)
-                    _execute(connection, batch, spec, marker)
-                    break
-                except Exception:
-                    if connection is not None:
-                        connection.rollback()
-                    if attempt == attempts:
-                        raise
-                    time.sleep(wait_seconds)
-        if connection is not None:
-            connection.close()
+        try:
+            for shard, batch in _batches(rows, batch_rows):
+                for attempt in range(1, attempts + 1):
+                    try:
+                        if connection is None or shard != shard_open:
+                            _quietly(connection, "close")
+                            connection = None
+                            connection, shard_open = connect(shard), shard
+                        _execute(connection, batch, spec, marker)
+                        break
+                    except Exception:
+                        # A connection that failed may be dead: the next attempt opens another.
+                        _quietly(connection, "rollback")
+                        _quietly(connection, "close")
+                        connection = None
+                        if attempt == attempts:
+                            raise
+                        time.sleep(wait_seconds)
+        finally:
+            _quietly(connection, "close")
 
     ordered.foreachPartition(run)
+
+
+def _quietly(connection: Any, step: str) -> None:
+    """Roll back or close what may be broken already."""
+    if connection is not None:
+        with suppress(Exception):
+            getattr(connection, step)()

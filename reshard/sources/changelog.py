@@ -62,10 +62,14 @@ def start_positions(changes: DataFrame, explicit: DataFrame, saved: DataFrame) -
     return ends.join(known, "source", "left").select("source", F.coalesce("start", "_end").alias("start"))
 
 
-def after(changes: DataFrame, starts: DataFrame) -> DataFrame:
-    """Changes behind the start position of their source; sources without one are left out."""
+def after(changes: DataFrame, starts: DataFrame, keep_unknown: bool = False) -> DataFrame:
+    """Changes behind the start position of their source; sources without one are left out, or kept whole."""
     here: Column = position(F.col("log_file"), F.col("log_pos"))
-    return changes.join(broadcast_if_small(starts), "source").where(here > F.col("start")).drop("start")
+    behind = here > F.col("start")
+    if keep_unknown:
+        behind = behind | F.col("start").isNull()
+    placed = changes.join(broadcast_if_small(starts), "source", "left" if keep_unknown else "inner")
+    return placed.where(behind).drop("start")
 
 
 def resume(changes: DataFrame, explicit: DataFrame, saved: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SPLIT = "split"
 SAME_SHARD_ONLY = "same_shard_only"
@@ -80,6 +81,14 @@ class TableSpec:
         """Copied columns that are not part of the key."""
         return [n for n in self.names if n not in self.key]
 
+    def order_of(self, image: str) -> list[Column]:
+        """Target order where key columns stand by themselves and the others in an image, as in operations and facts.
+
+        Keys come last again, so that rows without an image have a place.
+        """
+        places = [F.col(n) if n in self.key else F.col(image).getField(n) for n in self.order]
+        return places + [F.col(k) for k in self.key if k not in self.order]
+
     @property
     def identity(self) -> list[str]:
         """Columns that identify one target row, the most selective ones first, as sorts compare them so."""

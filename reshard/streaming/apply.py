@@ -3,9 +3,11 @@
 Layout below the state path:
 
     delta/batch_id=B/      facts per key of micro-batch B; written again in full when B is repeated
-    rejects/batch_id=B/    changes that could not be routed
+    rejects/batch_id=B/    changes that could not be routed; no folder when there were none
+    held/batch_id=B/       facts of all keys whose shard is held back after batch B
+    released/batch_id=B/   facts that were held and became due without a new batch, after batch B
     positions/batch_id=B/  newest position per source so far; written last, so it also marks B as complete
-    rotations/batch_id=B/  last rotation per source so far, for logs that name their file by rotations only
+    rotations/batch_id=B/  all rotations so far, for logs that name their file by rotations only
     base/upto=B/           facts per key of all batches up to B, from a compaction; -1 is a loaded snapshot
     compactions/upto=B/    marks that base as complete
     forgotten/upto=B/      positions up to which removed keys were forgotten; changes up to there are skipped
@@ -13,14 +15,14 @@ Layout below the state path:
 
 The current rows are the fold of the newest base and the deltas behind it. The fold orders by log position,
 so repeated batches and late files change nothing that is already right. Folders of batches before the
-newest base are not read any more and may be removed, but for the last one of ``positions`` and ``rotations``.
+newest base are not read any more; ``vacuum`` removes them, but for the last ones that later batches build on.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
-from zlib import crc32
+from collections.abc import Callable, Collection
+from hashlib import sha256
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,17 +30,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reshard.functions.positions import change_position, position
-from reshard.operators.changes import accepted, assign_log_file, rejected, rotations, skip_applied
-from reshard.operators.folding import change_facts, fold_facts, forget_absent, merge_facts, row_facts, state_rows
+from reshard.operators.changes import (
+    Rejects,
+    accepted,
+    assign_log_file,
+    hand_over,
+    placed_in_log,
+    rejected,
+    rotations,
+    skip_applied,
+)
+from reshard.operators.folding import (
+    change_facts,
+    fold_facts,
+    forget_absent,
+    merge_facts,
+    net_operation,
+    row_facts,
+    state_rows,
+)
 from reshard.operators.loading import first_of_shards
 from reshard.operators.reports import last_position, render_statements
 from reshard.operators.routing import split_key_moves
-from reshard.plans.log_apply import apply_log_to_databases, typed_changes
+from reshard.plans.log_apply import only_shards, typed_changes
 from reshard.session import broadcast_if_small
-from reshard.sinks.database import Connect
+from reshard.sinks.database import Connect, write_operations
 from reshard.spec import TableSpec
 
 Gate = Callable[[], bool]
+# Adds the flag ``held`` to rows with a shard.
+Hold = Callable[[DataFrame], DataFrame]
+
+POSITIONS = "source string, log_file string, log_pos bigint"
+ROTATIONS = "source string, seq bigint, log_file string"
 
 
 class StreamApply:
@@ -54,18 +78,22 @@ class StreamApply:
         buckets: int | None = None,
         preview: Callable[[DataFrame, int], None] | None = None,
         progress: Callable[[int, dict], None] | None = None,
+        hold: Hold | None = None,
     ) -> None:
         """``paused`` is asked before every batch. ``rotating`` logs name their file by rotation events only.
 
         ``buckets`` (at least the number of shuffle partitions) keeps the base in buckets of its keys, so that
         reading and compacting shuffle the deltas only; without it the base is kept in shard order.
-        ``preview`` makes a dry run: it gets the first operation of every shard, and nothing is stored.
+        ``preview`` makes a dry run: it gets the first operation of every shard, and nothing is stored; it has a
+        checkpoint of its own, so that a later run reads the same log again.
         ``progress`` is told after every batch how many changes it had, how many were rejected, and how many
-        operations went to each shard; the counts are taken along the way.
+        operations went to each database; the counts are taken along the way.
+        ``hold`` marks shards that must wait, as ``throttle_split`` does for hosts whose replicas are behind. Their
+        changes are kept and folded with later ones until they are due; all others go on.
         """
         self.spec, self.path = spec, path.rstrip("/")
         self.paused, self.pause_seconds, self.rotating = paused, pause_seconds, rotating
-        self.buckets, self.preview, self.progress = buckets, preview, progress
+        self.buckets, self.preview, self.progress, self.hold = buckets, preview, progress, hold
 
     def _at(self, part: str, batch_id: int) -> str:
         return f"{self.path}/{part}/batch_id={batch_id}"
@@ -74,28 +102,27 @@ class StreamApply:
         """Fold one micro-batch and store it. Safe to repeat."""
         wait_while(self.paused, self.pause_seconds)
         spark = events.sparkSession
+        events = self._placed(events, batch_id)
         if self.preview is not None:
-            operations = split_key_moves(accepted(typed_changes(events, self.spec)), self.spec)
+            operations = split_key_moves(accepted(self._changes(events)), self.spec)
             first = first_of_shards(operations, self.spec, ("pos",))
             return self.preview(render_statements(first, self.spec), batch_id)
-        if self.rotating:
-            known = _stored(spark, self._at("rotations", batch_id - 1))
-            points = rotations(events) if known is None else known.unionByName(rotations(events))
-            last = points.groupBy("source").agg(F.max("seq").alias("seq"), F.max_by("log_file", "seq").alias("log_file"))
-            last.coalesce(1).write.mode("overwrite").parquet(self._at("rotations", batch_id))
-            events = assign_log_file(events, known)
-        passed = self._forgotten(spark)
-        events = (events if passed is None else skip_applied(events, passed)).persist()
+        events = events.persist()
         try:
-            changes = typed_changes(events, self.spec)
+            changes = self._changes(events)
             counted, done = self._observed(changes)
             facts = change_facts(done, self.spec)
-            # The fold leaves the facts partitioned by key, so they are only sorted, not shuffled again.
-            facts = facts.sortWithinPartitions("shard", *self.spec.order)
-            facts.write.mode("overwrite").parquet(self._at("delta", batch_id))
-            rejected(changes).write.mode("overwrite").parquet(self._at("rejects", batch_id))
-            read = events.where(F.col("rows").isNotNull()).select("source", "log_file", "log_pos")
-            before = _stored(spark, self._at("positions", batch_id - 1))
+            if self.hold is None:
+                # The fold leaves the facts partitioned by key, so they are only sorted, not shuffled again.
+                facts = facts.sortWithinPartitions("shard", *self.spec.order_of("image"))
+                facts.write.mode("overwrite").parquet(self._at("delta", batch_id))
+            else:
+                self._split(facts, self._at("held", batch_id - 1), self._at("delta", batch_id), self._at("held", batch_id))
+            if counted[0].get["rejected"]:
+                rejected(changes).write.mode("overwrite").parquet(self._at("rejects", batch_id))
+            read = events.where(F.col("rows").isNotNull() & F.col("log_file").isNotNull())
+            read = read.select("source", "log_file", "log_pos")
+            before = _stored(spark, self._at("positions", batch_id - 1), POSITIONS)
             newest = last_position(read if before is None else read.unionByName(before))
             newest.coalesce(1).write.mode("overwrite").parquet(self._at("positions", batch_id))
             if self.progress is not None:
@@ -103,20 +130,78 @@ class StreamApply:
         finally:
             events.unpersist()
 
+    def _changes(self, events: DataFrame) -> DataFrame:
+        return placed_in_log(typed_changes(events, self.spec))
+
+    def _placed(self, events: DataFrame, batch_id: int) -> DataFrame:
+        """Events with their log file, without those that lie before what was forgotten."""
+        spark = events.sparkSession
+        if self.rotating:
+            known = _stored(spark, self._at("rotations", batch_id - 1), ROTATIONS)
+            if self.preview is None:
+                # One per log file; all are kept, as a late file may hold changes from before the last of them.
+                points = rotations(events) if known is None else known.unionByName(rotations(events))
+                points.distinct().coalesce(1).write.mode("overwrite").parquet(self._at("rotations", batch_id))
+            events = assign_log_file(events, known)
+        passed = self._forgotten(spark)
+        return events if passed is None else skip_applied(events, passed)
+
+    def _split(self, facts: DataFrame, held_before: str, due_path: str, held_path: str) -> None:
+        """Store what is due and what is held, of new facts and of those held so far."""
+        before = _stored(facts.sparkSession, held_before)
+        if before is not None:
+            facts = fold_facts(facts.unionByName(before), self.spec)
+        marked = self.hold(facts).withColumn("held", F.coalesce("held", F.lit(False)))
+        parts = [*self.spec.identity, "base", "image"]
+        marked = marked.select(*parts, "held").persist()
+        try:
+            marked.where("NOT held").select(*parts).write.mode("overwrite").parquet(due_path)
+            marked.where("held").select(*parts).write.mode("overwrite").parquet(held_path)
+        finally:
+            marked.unpersist()
+
+    def moved(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Net operations of the keys whose fold went forward with this batch."""
+        identity = self.spec.identity
+        new = spark.read.parquet(self._at("delta", batch_id)).select(*identity, "base", "image")
+        before = self.facts(spark, batch_id - 1) if batch_id > 0 or self._base(spark)[1] is not None else None
+        if before is None:
+            return net_operation(new, self.spec)
+        old = before.select(*identity, F.col("base").alias("_base"), F.col("image").alias("_image"))
+        both = new.join(old, identity, "left")
+        base, image = F.greatest("base", "_base"), F.greatest("image", "_image")
+        went_on = ~(base.eqNullSafe(F.col("_base")) & image.eqNullSafe(F.col("_image")))
+        return net_operation(both.where(went_on).select(*identity, base.alias("base"), image.alias("image")), self.spec)
+
+    def release(self, spark: SparkSession) -> None:
+        """Ask ``hold`` again about what is held, without waiting for a new batch. Safe to repeat."""
+        last = self.last_batch(spark)
+        held = None if last is None else _stored(spark, self._at("held", last))
+        if held is None:
+            return
+        parts = [*self.spec.identity, "base", "image"]
+        marked = held if self.hold is None else self.hold(held).where(~F.coalesce("held", F.lit(False)))
+        due = marked.select(*parts)
+        # What is released stays among the held facts of its batch: folding it twice is harmless, losing it is not.
+        due.write.mode("append").parquet(self._at("released", last))
+
     def _observed(self, changes: DataFrame) -> tuple[list[Observation], DataFrame]:
-        """Single-key operations, with counters attached if somebody wants to know."""
-        if self.progress is None:
-            return [], split_key_moves(accepted(changes), self.spec)
+        """Single-key operations, with counters attached that fill up along the way."""
         read, pushed = Observation(), Observation()
         refused = F.count_if(F.col("reason").isNotNull()).alias("rejected")
         changes = changes.observe(read, F.count("*").alias("changes"), refused)
-        per_shard = [F.count_if(F.col("shard") == i) for i in range(self.spec.table_count)]
         operations = split_key_moves(accepted(changes), self.spec)
-        return [read, pushed], operations.observe(pushed, F.array(*per_shard).alias("pushed"))
+        if self.progress is None:
+            return [read], operations
+        database = F.floor(F.col("shard") / self.spec.replication)
+        databases = -(-self.spec.table_count // self.spec.replication)
+        per_database = [F.count_if(database == i) for i in range(databases)]
+        return [read, pushed], operations.observe(pushed, F.array(*per_database).alias("pushed"))
 
     def start(self, events: DataFrame, every: str | None = "2 seconds") -> StreamingQuery:
         """Start the stream; without ``every`` it takes what is there and stops."""
-        return start_batches(events, self.process, f"{self.path}/checkpoint", every)
+        checkpoint = "checkpoint" if self.preview is None else "preview-checkpoint"
+        return start_batches(events, self.process, f"{self.path}/{checkpoint}", every)
 
     def seed(self, rows: DataFrame, starts: DataFrame | tuple[str, int]) -> None:
         """Begin with loaded rows, taken to be as old as the log position from which changes are read.
@@ -136,7 +221,7 @@ class StreamApply:
             placed = facts.repartition(self.buckets, *identity).write.bucketBy(self.buckets, *identity)
             placed.sortBy(*identity).mode("overwrite").option("path", path).saveAsTable(self._table(upto))
         else:
-            keys = ["shard", *self.spec.order]
+            keys = ["shard", *self.spec.order_of("image")]
             ordered = facts.repartitionByRange(*keys).sortWithinPartitions(*keys)
             ordered.write.mode("overwrite").parquet(path)
         done = facts.sparkSession.range(1).select(F.lit(self.buckets).cast("int").alias("buckets"))
@@ -144,10 +229,10 @@ class StreamApply:
 
     def _table(self, upto: int) -> str:
         """Catalog name of a bucketed base; the catalog may be forgetful, the files are what counts."""
-        return f"reshard_{crc32(self.path.encode()):08x}_{upto + 1}"
+        return f"reshard_{sha256(self.path.encode()).hexdigest()[:32]}_{upto + 1}"
 
     def _base(self, spark: SparkSession) -> tuple[int, DataFrame | None]:
-        done = _stored(spark, f"{self.path}/compactions")
+        done = _stored(spark, f"{self.path}/compactions", "buckets int, upto int")
         last = None if done is None else done.orderBy(F.desc("upto")).first()
         if last is None:
             return -1, None
@@ -164,24 +249,37 @@ class StreamApply:
             )
         return upto, spark.table(self._table(upto))
 
-    def facts(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
-        """Folded facts of all complete batches, or of those up to ``upto``."""
+    def facts(
+        self, spark: SparkSession, upto: int | None = None, shards: Collection[int] | None = None
+    ) -> DataFrame | None:
+        """Folded facts of all complete batches, or of those up to ``upto``; ``shards`` limits what is read."""
         last = self.last_batch(spark)
         from_base, base = self._base(spark)
         if last is None:
-            return base
+            return base if base is None else only_shards(base, shards)
         last = last if upto is None else min(last, upto)
         inside = (F.col("batch_id") > from_base) & (F.col("batch_id") <= last)
-        deltas = fold_facts(spark.read.parquet(f"{self.path}/delta").where(inside), self.spec)
+        deltas = _stored(spark, f"{self.path}/delta")
+        if deltas is None:
+            return base
+        parts = [*self.spec.identity, "base", "image"]
+        deltas = deltas.where(inside).select(*parts)
+        # A batch may have released facts after it was complete, and a base may have been made in between.
+        released = _stored(spark, f"{self.path}/released")
+        if released is not None:
+            deltas = deltas.unionByName(released.where((F.col("batch_id") >= from_base) & (F.col("batch_id") <= last)).select(*parts))
+        if shards is not None:
+            deltas, base = only_shards(deltas, shards), None if base is None else only_shards(base, shards)
+        deltas = fold_facts(deltas, self.spec)
         return deltas if base is None else merge_facts(base, deltas, self.spec)
 
-    def current(self, spark: SparkSession) -> DataFrame | None:
-        """Rows of all shards as of the last complete batch; None before the first."""
-        facts = self.facts(spark)
+    def current(self, spark: SparkSession, shards: Collection[int] | None = None) -> DataFrame | None:
+        """Rows of all shards, or of some, as of the last complete batch; None before the first."""
+        facts = self.facts(spark, shards=shards)
         return None if facts is None else state_rows(facts, self.spec)
 
     def last_batch(self, spark: SparkSession) -> int | None:
-        stored = _stored(spark, f"{self.path}/positions")
+        stored = _stored(spark, f"{self.path}/positions", f"{POSITIONS}, batch_id int")
         return None if stored is None else stored.agg(F.max("batch_id")).first()[0]
 
     def positions(self, spark: SparkSession) -> DataFrame | None:
@@ -193,7 +291,7 @@ class StreamApply:
         return _stored(spark, f"{self.path}/rejects")
 
     def _forgotten(self, spark: SparkSession) -> DataFrame | None:
-        stored = _stored(spark, f"{self.path}/forgotten")
+        stored = _stored(spark, f"{self.path}/forgotten", POSITIONS)
         return None if stored is None else last_position(stored)
 
     def compact(self, spark: SparkSession, forget: DataFrame | None = None) -> int | None:
@@ -217,6 +315,29 @@ class StreamApply:
         self._store_base(facts, upto)
         return upto
 
+    def vacuum(self, spark: SparkSession) -> int:
+        """Remove what the newest base has made obsolete; returns how many folders went.
+
+        Not to be run while somebody reads an older base. Rejects stay, as nobody else keeps them.
+        """
+        upto, _ = self._base(spark)
+        last = self.last_batch(spark)
+        keep = upto if last is None else min(upto, last - 1)
+        old = [("delta", "batch_id", upto), ("base", "upto", upto - 1), ("compactions", "upto", upto - 1)]
+        # The next batch, or the repetition of the last one, builds on the one before.
+        old += [(part, "batch_id", keep - 1) for part in ("positions", "rotations", "held", "released")]
+        context = spark.sparkContext
+        removed = 0
+        for part, name, end in old:
+            folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+            files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+            for status in files.listStatus(folder) if files.exists(folder) else []:
+                key, _, number = status.getPath().getName().partition("=")
+                if key == name and int(number) <= end:
+                    files.delete(status.getPath(), True)
+                    removed += 1
+        return removed
+
 
 def wait_while(paused: Gate | None, pause_seconds: float = 1.0) -> None:
     """Hold the batch back as long as the gate says so."""
@@ -232,13 +353,30 @@ def stream_to_databases(
     every: str | None = "2 seconds",
     paused: Gate | None = None,
     pause_seconds: float = 1.0,
+    rotating: bool = False,
+    rejects: Rejects = None,
+    state: StreamApply | None = None,
     **options,
 ) -> StreamingQuery:
-    """Continuous apply to shard databases. A repeated batch repeats full images, so it does no harm."""
+    """Continuous apply to shard databases.
+
+    The facts of all keys are kept beside the checkpoint (or in ``state``, which can be seeded and compacted): a batch is
+    folded with what is known of its keys, and only keys whose fold has moved forward are written. So late files and
+    repeated batches never put older rows over newer ones. ``rotating`` logs name their file by rotations only; events
+    without a known file are refused like others that cannot be routed: they go to ``rejects``, or fail the batch.
+    """
+    kept = state or StreamApply(spec, f"{checkpoint.rstrip('/')}-state", rotating=rotating)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         wait_while(paused, pause_seconds)
-        apply_log_to_databases(batch, spec, connect, **options)
+        spark = batch.sparkSession
+        kept.process(batch, batch_id)
+        refused = _stored(spark, kept._at("rejects", batch_id))
+        if refused is not None:
+            if rejects is None:
+                raise ValueError(f"batch {batch_id} has changes that cannot be routed, see {kept._at('rejects', batch_id)}")
+            hand_over(refused, rejects)
+        write_operations(kept.moved(spark, batch_id), spec, connect, **options)
 
     return start_batches(events, process, checkpoint, every)
 
@@ -250,10 +388,10 @@ def start_batches(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """A table that may not have been written yet."""
+def _stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """A table that may not have been written yet; with a schema no file has to be opened for it."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reshard.operators.audit import log_gap_audit
 from reshard.operators.changes import assign_log_file
 from reshard.operators.lag import pause_transitions, replica_lag
-from reshard.operators.ordered import with_chunk, with_previous, with_row_number, with_running_total
+from reshard.operators.ordered import _placed, with_previous, with_row_number, with_running_total
 
 
 def skewed(seed, count, spread=1):
@@ -17,34 +17,47 @@ def skewed(seed, count, spread=1):
     return [("hot" if rnd.random() < 0.7 else f"g{rnd.randrange(5)}", s, rnd.choice([None, 1, 2, 3])) for s in seqs]
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 7, 100, 10_000])
+@pytest.mark.parametrize("partitions", [None, 1, 7, 40])
 @pytest.mark.parametrize("spread", [1, 1000])
-def test_previous(spark, chunk_rows, spread):
+def test_previous(spark, partitions, spread):
     data = skewed(1, 400, spread)
     expected, last = {}, {}
     for group, seq, value in sorted(data, key=lambda r: r[1]):
         expected[group, seq] = last.get(group)
         last[group] = value
     rows = spark.createDataFrame(data, "g string, seq bigint, v int")
-    found = with_previous(rows, ["g"], "seq", "v", "was", chunk_rows=chunk_rows)
+    found = with_previous(rows, ["g"], "seq", "v", "was", partitions=partitions)
     assert {(r["g"], r["seq"]): r["was"] for r in found.collect()} == expected
 
 
-def test_chunks_are_bounded(spark):
-    rows = spark.range(10_000).withColumn("id", F.col("id") * 12345)
-    sizes = [r["count"] for r in with_chunk(rows, "id", 100).groupBy("_chunk").count().collect()]
-    assert len(sizes) >= 100 and max(sizes) <= 101 and sum(sizes) == 10_000
-
-
-@pytest.mark.parametrize("chunk_rows", [3, 100_000])
-def test_running_total(spark, chunk_rows):
+def test_ranges_are_bounded_whatever_the_order_values(spark):
+    """One far-off value, a group with nine tenths of the rows, and NULL as a group."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 20 > 0, "g").alias("g"),
+        F.when(F.col("id") == 19_999, 10**15).otherwise(F.col("id")).alias("seq"),
+        F.lit(1).alias("v"),
+    )
+    sizes = [r["count"] for r in _placed(rows, ["g"], ["seq"], 8).groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+    found = with_previous(rows, ["g"], "seq", "v", "was", F.lit(0), partitions=8)
+    assert {(r["g"], r["was"]): r["count"] for r in found.groupBy("g", "was").count().collect()} == {
+        ("hot", 0): 1, ("hot", 1): 17_999, ("g", 0): 1, ("g", 1): 999, (None, 0): 1, (None, 1): 999,
+    }
+    total = with_running_total(rows, ["g"], "seq", "v", "total", partitions=8)
+    assert {r["g"]: r["m"] for r in total.groupBy("g").agg(F.max("total").alias("m")).collect()} == {"hot": 18_000, "g": 1000, None: 1000}
+    numbered = with_row_number(rows, ["g"], ["seq"])
+    assert {r["g"]: r["m"] for r in numbered.groupBy("g").agg(F.max("row_no").alias("m")).collect()} == {"hot": 18_000, "g": 1000, None: 1000}
+
+
+@pytest.mark.parametrize("partitions", [None, 9])
+def test_running_total(spark, partitions):
     data = skewed(4, 300, 50)
     expected, total = {}, {}
     for group, seq, value in sorted(data, key=lambda r: r[1]):
         total[group] = total.get(group, 0) + (value or 0)
         expected[group, seq] = total[group]
     rows = spark.createDataFrame(data, "g string, seq bigint, v int").fillna(0)
-    found = with_running_total(rows, ["g"], "seq", "v", "total", chunk_rows)
+    found = with_running_total(rows, ["g"], "seq", "v", "total", partitions)
     assert {(r["g"], r["seq"]): r["total"] for r in found.collect()} == expected
 
 
@@ -101,14 +114,14 @@ def test_lag_limits(spark):
     assert found == {"a": (limit, False), "b": (limit + 1, True), "d": (limit * 2, True)}
 
 
-@pytest.mark.parametrize("chunk_rows", [2, 1000])
-def test_pause_changes(spark, chunk_rows):
+@pytest.mark.parametrize("partitions", [None, 5])
+def test_pause_changes(spark, partitions):
     high, low = 2_000_000_000, 1_000_000
     rows = beats(
         spark,
         [("a", 1, low), ("a", 2, high), ("a", 3, -1), ("a", 4, high), ("a", 5, low), ("b", 1, high), ("b", 9, high)],
     )
-    found = sorted((r["host"], r["seq"], r["paused"]) for r in pause_transitions(rows, chunk_rows).collect())
+    found = sorted((r["host"], r["seq"], r["paused"]) for r in pause_transitions(rows, partitions).collect())
     assert found == [("a", 2, True), ("a", 5, False), ("b", 1, True)]
 
 

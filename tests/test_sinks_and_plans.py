@@ -2,6 +2,7 @@ import glob
 import json
 import os
 import re
+from dataclasses import replace
 
 import pyarrow.parquet as pq
 import pytest
@@ -13,12 +14,14 @@ from helpers import ITEMS, Recorder, events_frame, operations_frame, random_oper
 from reshard.operators import loading, reports, routing
 from reshard.operators.folding import apply_changes, compact_changes
 from reshard.plans.batch_load import batch_load, load_databases, load_rows
-from reshard.plans.log_apply import apply_log, apply_log_to_shards
+from reshard.functions.positions import position
+from reshard.plans.log_apply import apply_log, apply_log_to_shards, bootstrap_state, touched_shards
 from reshard.sinks.database import write_operations
 from reshard.sinks.files import read_shards, save_bucketed, write_shards
 from reshard.sources import directory, snapshot
-from reshard.sources.changelog import stream_changelog
-from reshard.streaming.apply import stream_to_databases
+from reshard.sources.changelog import event_schema, stream_changelog
+from reshard.spec import ColumnSpec, TableSpec
+from reshard.streaming.apply import StreamApply, stream_to_databases
 
 
 def plan_of(df):
@@ -60,8 +63,85 @@ def test_load_into_a_filled_target(spark, sf):
 
 def test_rows_without_key_are_set_aside(spark):
     rows = spark.createDataFrame([(1, None, 5), (2, 7, 6)], "id bigint, k bigint, v int")
-    assert rows_of(load_rows(rows, ITEMS), "k", "v") == [(7, 6)]
-    assert rows_of(routing.snapshot_rejects(rows, ITEMS), "id") == [(1,)]
+    refused = []
+    assert rows_of(load_rows(rows, ITEMS, rejects=refused.append), "k", "v") == [(7, 6)]
+    assert rows_of(refused[0], "id") == [(1,)]
+    with pytest.raises(PySparkException, match="no complete key"):
+        load_rows(rows, ITEMS).collect()
+
+
+def test_refused_changes_come_out(spark, tmp_path):
+    """Without somewhere to put them the job fails; a path stores them; nothing vanishes."""
+    events = events_frame(spark, [("f", 1, 0, "I", 1, 5), ("f", 2, 0, "I", None, 6)])
+    target = spark.createDataFrame([(0, 9, 9)], "shard int, k bigint, v int")
+    with pytest.raises(PySparkException, match="null_key"):
+        apply_log(target, events, ITEMS).collect()
+    path = str(tmp_path / "rejects")
+    assert rows_of(apply_log(target, events, ITEMS, rejects=path), "k", "v") == [(1, 5), (9, 9)]
+    assert rows_of(spark.read.parquet(path), "reason") == [("null_key",)]
+    lost = events.where("log_pos = 10").withColumn("log_file", F.lit(None).cast("string"))
+    with pytest.raises(PySparkException, match="no_log_file"):
+        apply_log(target, lost, ITEMS).collect()
+
+
+def test_bootstrap_keeps_the_log_of_sources_without_a_start(spark):
+    spec = replace(ITEMS, source="source")
+    rows = spark.createDataFrame([("src", 1, 1, 1), ("new", 2, 1, 2)], "source string, id bigint, k bigint, v int")
+    log = events_frame(spark, [("f", 1, 0, "U", 1, 5)])
+    log = log.unionByName(log.withColumn("source", F.lit("new")))
+    starts = spark.createDataFrame([("src",)], "source string").select("source", position(F.lit("f"), F.lit(99)).alias("start"))
+    state = bootstrap_state(rows.where("source = 'new'"), log, starts, spec)
+    assert rows_of(state, "source", "v") == [("new", 5)]
+
+
+def test_only_wanted_shards_are_read(spark, tmp_path):
+    far = [1, 2**48, 2 * 2**48]
+    spec = replace(ITEMS, shard_num=4)
+    rows = spark.createDataFrame([(i, k, 0) for i, k in enumerate(far)], "shard int, k bigint, v int")
+    write_shards(rows, spec, str(tmp_path / "v0"))
+    log = events_frame(spark, [("f", n, 0, "U", k, 7) for n, k in enumerate(far)])
+    assert touched_shards(log.where("seq < 2"), spec) == [0, 1]
+    changed = apply_log(read_shards(spark, str(tmp_path / "v0")), log, spec, shards=[1])
+    assert rows_of(changed, "k", "v") == [(2**48, 7)]
+    assert re.search(r"PartitionFilters: \[[^\]]*shard", plan_of(changed))
+    apply_log_to_shards(str(tmp_path / "v0"), log, spec, str(tmp_path / "v1"), shards=[2])
+    assert rows_of(spark.read.parquet(str(tmp_path / "v1")), "shard", "v") == [(2, 7)]
+
+
+class Dying:
+    """A connection whose first statement kills it; with ``sour`` the rollback fails as well."""
+
+    def __init__(self, folder, shard, sour):
+        self.folder, self.sour = folder, sour
+        self.number = len(glob.glob(f"{folder}/opened-*"))
+        open(f"{folder}/opened-{self.number}", "w").close()
+
+    def cursor(self):
+        return self
+
+    def execute(self, sql, args):
+        if self.number == 0:
+            raise ConnectionError("gone")
+        open(f"{self.folder}/done-{self.number}", "w").close()
+
+    def commit(self):
+        pass
+
+    def rollback(self):
+        if self.sour:
+            raise ConnectionError("still gone")
+
+    def close(self):
+        open(f"{self.folder}/closed-{self.number}", "w").close()
+
+
+@pytest.mark.parametrize("sour", [False, True])
+def test_a_dead_connection_is_replaced(spark, tmp_path, sour):
+    folder = str(tmp_path)
+    operations = compact_changes(operations_frame(spark, [("f", 1, 0, "I", 1, 5)]), ITEMS)
+    write_operations(operations, ITEMS, lambda shard: Dying(folder, shard, sour), wait_seconds=0, tasks=1)
+    names = {os.path.basename(n) for n in glob.glob(f"{folder}/*")}
+    assert names == {"opened-0", "closed-0", "opened-1", "done-1", "closed-1"}
 
 
 def test_first_row_wins_with_text_values(spark):
@@ -199,8 +279,12 @@ def test_stream_into_databases(spark, tmp_path):
         stream_changelog(spark, landed, files_per_trigger=1), ITEMS, lambda shard: Recorder(out, shard),
         str(tmp_path / "checkpoint"), every=None, paused=lambda: waits.pop(0), pause_seconds=0.01, wait_seconds=0,
     ).awaitTermination()
+    assert waits == [] and run_statements(recorded(out)) == sequential(operations)
+
+
+def run_statements(batches):
     state = {}
-    for _, batch in recorded(out):
+    for _, batch in batches:
         for sql, args in batch:
             if sql.startswith("replace"):
                 state[args[0]] = args[1]
@@ -208,7 +292,71 @@ def test_stream_into_databases(spark, tmp_path):
                 state.pop(args[0], None)
             elif args[2] in state:
                 state[args[0]] = args[1]
-    assert waits == [] and sorted(state.items()) == sequential(operations)
+    return sorted(state.items())
+
+
+def test_late_files_and_rotations_into_databases(spark, tmp_path):
+    """A late file puts no older row over a newer one, and file names come from rotations."""
+
+    def part(rows):
+        return spark.createDataFrame(
+            [("src", seq, None, pos, name, nxt, "db", "items", images) for seq, pos, name, nxt, images in rows], event_schema()
+        )
+
+    landed, out = str(tmp_path / "log"), str(tmp_path / "out")
+    os.mkdir(out)
+    parts = [
+        [(1, 4, "RotateEvent", "bin.1", None), (2, 900, "WriteRowsEventV2", None, [[1, 10]])],
+        [(7, 4, "RotateEvent", "bin.3", None), (8, 100, "UpdateRowsEventV2", None, [[1, 11], [1, 22]])],
+        [(4, 4, "RotateEvent", "bin.2", None), (5, 500, "UpdateRowsEventV2", None, [[1, 10], [1, 11]]), (6, 600, "WriteRowsEventV2", None, [[2, 5]])],
+    ]
+    for n, rows in enumerate(parts):
+        part(rows).coalesce(1).write.mode("append").parquet(landed)
+        stream_to_databases(
+            stream_changelog(spark, landed), ITEMS, lambda shard: Recorder(out, shard), str(tmp_path / "checkpoint"),
+            every=None, wait_seconds=0, rotating=True,
+        ).awaitTermination()
+    assert run_statements(recorded(out)) == [(1, 22), (2, 5)]
+
+
+def test_events_without_a_file_fail_the_stream(spark, tmp_path):
+    landed = str(tmp_path / "log")
+    events_frame(spark, [("f", 1, 0, "I", 1, 5)]).withColumn("log_file", F.lit(None).cast("string")).write.parquet(landed)
+    os.mkdir(tmp_path / "out")
+    query = stream_to_databases(
+        stream_changelog(spark, landed), ITEMS, lambda shard: Recorder(str(tmp_path / "out"), shard), str(tmp_path / "c"), every=None
+    )
+    with pytest.raises(PySparkException):
+        query.awaitTermination()
+
+
+def test_order_may_name_value_columns(spark, tmp_path):
+    spec = replace(ITEMS, order=("v",))
+    operations = random_operations(31, 60, 9)
+    apply = StreamApply(spec, str(tmp_path / "state"))
+    apply.process(events_frame(spark, operations), 0)
+    assert apply.compact(spark) == 0
+    assert rows_of(apply.current(spark), "k", "v") == sequential(operations)
+    out = str(tmp_path / "out")
+    os.mkdir(out)
+    write_operations(compact_changes(operations_frame(spark, operations), spec), spec, lambda shard: Recorder(out, shard), wait_seconds=0)
+    assert run_statements(recorded(out)) == sequential(operations)
+
+
+@pytest.mark.parametrize("element", ["binary", "string"])
+def test_latin1_columns_and_keys(spark, element):
+    """Bytes are decoded, text is taken as it is; a latin1 key is hashed as text."""
+    spec = TableSpec("t", (ColumnSpec("k", 0, charset="latin1"), ColumnSpec("n", 1, "int")), key=("k",), shard_num=4)
+    text = F.unhex(F.lit("E9")) if element == "binary" else F.lit("é")
+    image = F.array(text, F.lit("7").cast(element))
+    events = spark.range(1).select(
+        F.lit("src").alias("source"), F.lit(1).cast("bigint").alias("seq"), F.lit("f").alias("log_file"),
+        F.lit(4).cast("bigint").alias("log_pos"), F.lit("WriteRowsEventV2").alias("event_name"),
+        F.lit(None).cast("string").alias("next_log_name"), F.lit("db").alias("database_name"),
+        F.lit("t").alias("table_name"), F.array(image).alias("rows"),
+    )
+    target = spark.createDataFrame([], "shard int, k string, n int")
+    assert rows_of(apply_log(target, events, spec), "k", "n") == [("é", 7)]
 
 
 def test_database_sink_gives_up(spark, tmp_path):

@@ -211,6 +211,56 @@ def test_dry_run_stores_nothing(spark, tmp_path):
     assert apply.current(spark) is None
 
 
+def test_dry_run_leaves_the_log_to_the_real_run(spark, tmp_path):
+    operations, landed, state = random_operations(17, 60, 9), str(tmp_path / "log"), str(tmp_path / "state")
+    land(spark, operations, landed)
+    run(StreamApply(ITEMS, state, preview=lambda first, batch: first.collect()), spark, landed)
+    apply = StreamApply(ITEMS, state)
+    run(apply, spark, landed)
+    assert current(apply, spark) == sequential(operations)
+
+
+def test_held_changes_wait_and_fold(spark, tmp_path):
+    operations = random_operations(18, 200, 20)
+    held = {"on": True}
+    spec = TableSpec(**{**ITEMS.__dict__, "shard_num": 4})
+    wide = [(f, p, r, op, (k % 2) * 2**48 + k, v) for f, p, r, op, k, v in operations]
+    apply = StreamApply(spec, str(tmp_path / "state"), hold=lambda facts: facts.withColumn("held", (F.col("shard") == 1) & held["on"]))
+    apply.process(events_frame(spark, wide[:120]), 0)
+    due = sequential([o for o in wide[:120] if o[4] < 2**48])
+    assert current(apply, spark) == due
+    apply.process(events_frame(spark, wide[120:180]), 1)
+    apply.release(spark)
+    assert current(apply, spark) == sequential([o for o in wide[:180] if o[4] < 2**48])
+    held["on"] = False
+    apply.release(spark)
+    assert current(apply, spark) == sequential(wide[:180])
+    assert apply.compact(spark) == 1
+    apply.process(events_frame(spark, wide[180:]), 2)
+    assert current(apply, spark) == sequential(wide)
+
+
+def test_vacuum_keeps_what_is_needed(spark, tmp_path):
+    operations = random_operations(19, 240, 20)
+    parts = [operations[i * 40 : (i + 1) * 40] for i in range(6)]
+    apply = StreamApply(ITEMS, str(tmp_path / "state"))
+    for batch in range(4):
+        apply.process(events_frame(spark, parts[batch]), batch)
+        if batch in (1, 3):
+            apply.compact(spark)
+    assert apply.vacuum(spark) > 0 and apply.vacuum(spark) == 0
+    folders = [p.name for p in (tmp_path / "state" / "delta").iterdir()]
+    assert folders == [] and [p.name for p in (tmp_path / "state" / "base").iterdir()] == ["upto=3"]
+    assert current(apply, spark) == sequential(operations[:160])
+    again = StreamApply(ITEMS, str(tmp_path / "state"))
+    again.process(events_frame(spark, parts[3]), 3)
+    for batch in (4, 5):
+        again.process(events_frame(spark, parts[batch]), batch)
+    assert current(again, spark) == sequential(operations)
+    assert rows_of(again.current(spark, shards=[0]), "k", "v") == sequential(operations)
+    assert again.current(spark, shards=[1]).count() == 0
+
+
 @pytest.mark.parametrize("spec, buckets", [(ITEMS, None), (SOURCED, 8)])
 def test_removed_keys_can_be_forgotten(spark, tmp_path, spec, buckets):
     operations = random_operations(16, 240, 60)
