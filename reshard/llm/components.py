@@ -20,7 +20,8 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     before = None
     while True:
         both = rows.unionByName(rows.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Stored, so that the join meets plain exchanges, where the rows of a node with very many neighbours are split.
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))

@@ -42,8 +42,8 @@ LEAST_VARIETY = 0.5
 FREE_SHARE = 0.05
 
 WORD = re.compile(r"[^\W\d_]+")
-CLAUSE = re.compile(r"[.!?;:\n]+")
-QUOTES = re.compile(r"[\"“”„«»]")
+SYMBOL = re.compile(r"[^\W\d_]+|[\"“”„«»]")
+CLAUSE = re.compile(r"[.!?;]+")
 CONTEXTS = ("insult", "insult_at_target", "insult_negated", "insult_reported", "threat", "threat_at_target", "threat_negated", "threat_reported")
 # Weights before any label is seen: quoting and negating weaken a match.
 PRIOR = np.array([2.0, 2.5, 0.5, 0.5, 2.0, 2.5, 0.5, 0.5])
@@ -74,6 +74,8 @@ class Grammar:
     bias: float = PRIOR_BIAS
 
     def symbol(self, word: str) -> str:
+        if not word.isalpha():
+            return "Q"
         if any(word[:k] in self.stems for k in PREFIXES) or word + "$" in self.stems:
             return "I"
         for symbol, words in (("T", THREATS), ("U", TARGETS), ("N", NEGATIONS), ("R", REPORTS)):
@@ -84,30 +86,32 @@ class Grammar:
     def matched(self, text: str) -> list[int]:
         """Matches per context, from all clauses of a text."""
         counts, known = Counter(), {}
-        quoted = False
-        for clause in CLAUSE.split(text.lower()):
-            opens = quoted
-            quoted ^= len(QUOTES.findall(clause)) % 2 == 1
-            symbols = [known.get(w) or known.setdefault(w, self.symbol(w)) for w in WORD.findall(clause)]
-            if "I" in symbols or "T" in symbols:
-                counts.update(clause_matches(symbols, opens))
+        for line in text.lower().split("\n"):
+            quoted = False  # a quotation goes on over clauses, but ends with its line
+            for clause in CLAUSE.split(line):
+                symbols = [known.get(w) or known.setdefault(w, self.symbol(w)) for w in SYMBOL.findall(clause)]
+                if "I" in symbols or "T" in symbols:
+                    counts.update(clause_matches(symbols, quoted))
+                quoted ^= symbols.count("Q") % 2 == 1
         return [counts[c] for c in CONTEXTS]
 
     def score(self, counts: list[int]) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + float(np.dot(self.weights, np.log1p(counts)))))))
 
 
-def clause_matches(symbols: list[str], reported: bool = False) -> list[str]:
-    """Run the context machine over one clause; a state is (reported, words for which a negation stays open)."""
-    target, negated, out = "U" in symbols, 0, []
+def clause_matches(symbols: list[str], quoted: bool = False) -> list[str]:
+    """Run the context machine over one clause; a state is (told, in quotes, words for which a negation stays open)."""
+    target, told, negated, out = "U" in symbols, False, 0, []
     for symbol in symbols:
         if symbol == "R":
-            reported = True
+            told = True
+        elif symbol == "Q":
+            quoted = not quoted
         elif symbol == "N":
             negated = NEGATION_REACH + 1
         elif symbol in "IT":
             kind = "insult" if symbol == "I" else "threat"
-            end = "_reported" if reported else "_negated" if negated else "_at_target" if target else ""
+            end = "_reported" if told or quoted else "_negated" if negated else "_at_target" if target else ""
             out.append(kind + end)
         negated = max(0, negated - 1)
     return out
