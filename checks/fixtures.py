@@ -40,10 +40,14 @@ SELECT event_id AS seq, CASE WHEN event_id % 2 = 0 THEN 'db-a' ELSE 'db-b' END A
 FROM (SELECT event_id, user_id, event_type, CAST((event_id - event_id % 4) / 4 AS BIGINT) AS g FROM {{events}}) e
 """
 
-# The log with a missing file number after every seventh and an earlier offset in every tenth event.
+# The log with a missing file number after every seventh and an earlier offset in every tenth event. Some events are in
+# files with a number about to grow by a digit, with a detached name, or without a number.
 _GAPPED = "CAST(n + CAST((n - n % 7) / 7 AS BIGINT) AS STRING)"
+_NUMBERED = f"'mysql-bin.' || lpad({_GAPPED}, CAST(greatest(5, length({_GAPPED})) AS INT), '0')"
 AUDITED = f"""
-SELECT source, seq, 'mysql-bin.' || lpad({_GAPPED}, CAST(greatest(5, length({_GAPPED})) AS INT), '0') AS log_file,
+SELECT source, seq, CASE g % 10 WHEN 6 THEN 'short.' || CAST(9 + n % 2 * 90 AS STRING)
+    WHEN 7 THEN '//' || {_NUMBERED} || ':' || CAST(n AS STRING) WHEN 8 THEN 'archive' || CAST(n AS STRING)
+    ELSE {_NUMBERED} END AS log_file,
   CASE WHEN g % 10 = 9 THEN log_pos - 2000 ELSE log_pos END AS log_pos
 FROM (SELECT *, CAST(substr(log_file, 11) AS BIGINT) AS n FROM ({CHANGES}) c) m
 """

@@ -301,13 +301,17 @@ SELECT source, seq, event_name, log_pos,
   last_value(next_log_name IGNORE NULLS) OVER (PARTITION BY source ORDER BY seq) AS log_file FROM ({RAW}) r""",
     "log_gap_audit": f"""
 WITH a AS ({AUDITED}), s AS (SELECT *, lag(log_pos) OVER (PARTITION BY source, log_file ORDER BY seq) AS b FROM a),
-f AS (SELECT source, log_file, CAST(substr(log_file, 11) AS BIGINT) AS n, count(*) AS rows,
+f AS (SELECT source, log_file, string_split(log_file, '.')[-1] AS digits, count(*) AS rows,
   count(*) FILTER (log_pos < b) AS backward_steps FROM s GROUP BY 1, 2, 3),
+m AS (SELECT *, TRY_CAST(digits AS BIGINT) AS k, coalesce(TRY_CAST(digits AS BIGINT), 0) AS n,
+  left(log_file, length(log_file) - length(digits)) AS stem, length(digits) AS width FROM f),
 w AS (SELECT *, lag(log_file) OVER (PARTITION BY source ORDER BY log_file) AS before_file,
-  lag(n) OVER (PARTITION BY source ORDER BY log_file) AS bn FROM f)
-SELECT source, log_file, n AS file_number, CAST(length(log_file) - 10 AS INTEGER) AS number_width, before_file, n - bn AS distance,
-  'mysql-bin.' || printf('%05d', n - 1) AS expected_previous, 'mysql-bin.' || printf('%05d', n + 1) AS expected_next,
-  coalesce(n - bn <> 1, FALSE) AS gap, FALSE AS detached, rows, backward_steps FROM w""",
+  lag(n) OVER (PARTITION BY source ORDER BY log_file) AS bn, repeat('0', width) AS zeros FROM m)
+SELECT source, log_file, n AS file_number, CAST(CASE WHEN k IS NULL THEN 0 ELSE width END AS INTEGER) AS number_width, before_file,
+  n - bn AS distance,
+  CASE WHEN k >= 1 THEN stem || right(zeros || (k - 1), greatest(width, length(CAST(k - 1 AS VARCHAR)))) END AS expected_previous,
+  CASE WHEN k IS NOT NULL THEN stem || right(zeros || (k + 1), greatest(width, length(CAST(k + 1 AS VARCHAR)))) END AS expected_next,
+  coalesce(n - bn <> 1, FALSE) AS gap, left(log_file, 2) = '//' AS detached, rows, backward_steps FROM w""",
     "distinct_positions": f"SELECT log_file, log_pos, 'binary' AS log_type FROM ({CHG}) c GROUP BY 1, 2",
     "replay_dedup": f"SELECT source, log_file, log_pos, row_idx, seq FROM ({CHG}) c",
     "replica_lag": LATEST_LAG,
