@@ -29,7 +29,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of each document that are no later occurrence of an equal or similar line."""
-    return dedup_lines(table(spark, sf_dir, "documents")).drop("kept")
+    return dedup_lines(table(spark, sf_dir, "documents"), by="grams").drop("kept")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -385,3 +385,48 @@ def test_line_dedup(spark, nothing, monkeypatch, short):
     assert sum(e[2] for e in expected) > 30 and len({find(n) for n in norms}) < len(norms)
     assert plain(dedup_lines(frame), "doc_id", "n_lines", "n_removed", "kept_sha256") == Counter(expected)
     assert dedup_lines(nothing).count() == 0
+
+
+def near_lines():
+    """Base lines of 12, 27 and 50 words with copies in which words or letters are changed."""
+    rnd, out = random.Random(12), []
+    syllables = [a + b for a in "bcdfglmnprst" for b in "aeiou"]
+    word = lambda: "".join(rnd.choice(syllables) for _ in range(rnd.choice([1, 2, 2, 3, 3, 4])))
+    for n, words, letters in [(4, 0, 2), (12, 1, 4), (27, 1, 8), (27, 3, 12), (50, 3, 16)]:
+        for _ in range(40):
+            base = [word() for _ in range(n)]
+            copy = list(base)
+            for at in rnd.sample(range(n), words):
+                copy[at] = word()
+            typed = list(" ".join(base))
+            for at in rnd.sample(range(len(typed)), letters):
+                typed[at] = rnd.choice("aeiou") if typed[at] != " " else " "
+            out += [" ".join(base), " ".join(copy), "".join(typed)]
+    return sorted(set(out))
+
+
+def test_near_lines_are_found(spark):
+    """Pairs found, against all pairs that are near by edits alone."""
+    norms = near_lines()
+    frame = spark.createDataFrame(list(enumerate(norms)), "doc_id bigint, text string").repartition(4)
+    numbered = frame.select(F.col("doc_id").alias("i"), F.col("text").alias("t"))
+    a, b = numbered.alias("a"), numbered.alias("b")
+    most = F.expr("cast(greatest(length(a.t), length(b.t)) * 15 div 100 as int)")
+    close = (F.col("a.i") < F.col("b.i")) & (F.abs(F.length("a.t") - F.length("b.t")) <= most)
+    true = {tuple(r) for r in a.join(b, close).where(F.expr("levenshtein(a.t, b.t)") <= most).select("a.i", "b.i").collect()}
+    lines = line_dedup.lines_of(frame, "doc_id", "text")
+    number = {r["line"]: r["id"] for r in lines.collect()}
+    root = {number[r["line"]]: r["root"] for r in line_dedup.line_groups(lines, "grams").collect()}
+    for n in (4, 12, 27, 50):
+        mine = [(i, j) for i, j in true if len(norms[i].split()) == n]
+        assert len(mine) >= 30 and sum(root[i] == root[j] for i, j in mine) >= 0.9 * len(mine)
+    joined = {x: {x} for x in range(len(norms))}
+    for i, j in true:
+        if joined[i] is not joined[j]:
+            joined[i] |= joined[j]
+            joined.update(dict.fromkeys(joined[j], joined[i]))
+    for r in set(root.values()):  # nothing is linked that edits do not link
+        members = [x for x in root if root[x] == r]
+        assert all(joined[x] is joined[members[0]] for x in members)
+    removed = {r["doc_id"]: r["n_removed"] for r in dedup_lines(frame, by="grams").collect()}
+    assert sum(removed.values()) == len(norms) - len(set(root.values()))
