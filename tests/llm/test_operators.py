@@ -236,6 +236,24 @@ def test_mixing(docs, nothing):
     assert mix(nothing).count() == 0
 
 
+def test_mixing_fills_behind_a_long_document(spark):
+    """The long document comes early in its source's order and is larger than the target."""
+    key = lambda i, t: hashlib.md5(f"mix|{i}|{sha_md5(t)}".encode()).hexdigest()
+    sha_md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    long = "w " * 8000
+    early = next(i for i in range(10_000, 20_000) if key(i, long).startswith("2"))
+    rows = [(i, f"w{i} " * 10, "a") for i in range(500)] + [(1000 + i, f"w{i} " * 10, "b") for i in range(700)] + [(early, long, "b")]
+    frame = spark.createDataFrame(rows + [(1000, "w0 " * 10, "b")] * 2, "doc_id bigint, text string, source string").repartition(3)
+    found = mix(frame).collect()
+    for s in ("a", "b"):
+        mine = [r for r in found if r["source"] == s]
+        whole = int(mine[0]["target"] // mine[0]["source_size"])
+        gap = mine[0]["target"] - sum(r["size"] * r["times"] for r in mine)
+        assert 0 <= gap < min(r["size"] for r in mine if r["times"] == whole)
+    assert [r["times"] for r in found if r["size"] == 8000] == [0]
+    assert sorted(map(str, found)) == sorted(map(str, mix(frame.repartition(5)).collect()))
+
+
 def test_blocks_are_dealt_exactly(docs):
     rows = deal_blocks(mix(docs), shards=3, block_docs=2).collect()
     wanted = Counter(str(r["doc"]) for r in mix(docs).collect() for _ in range(r["times"]))
