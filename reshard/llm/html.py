@@ -136,11 +136,20 @@ def containers_of(page: str) -> list[Container]:
 
 
 def best_path(found: list[Container]) -> str | None:
-    """Path with the highest score among a page's containers; the first one of equals."""
+    """Path with the highest score among a page's containers, the first one of equals; sections, lists, tables and the
+    like inside an article lead to the article."""
     scores: Counter[str] = Counter()
     for c in found:
         scores[c.path] += c.score
-    return max(scores, key=scores.__getitem__) if any(scores.values()) else None
+    return climbed(found, max(scores, key=scores.__getitem__)) if any(scores.values()) else None
+
+
+def climbed(found: list[Container], path: str) -> str:
+    """The path, or that of the nearest container around it that is an article, main or likely one itself."""
+    inner = next(c for c in found if c.path == path)
+    while inner is not None and (not inner.likely or inner.path.startswith(">body") and inner.parent is found[0]):
+        inner = inner.parent
+    return path if inner is None else inner.path
 
 
 def text_at(found: list[Container], path: str) -> str:

@@ -46,6 +46,15 @@ def test_paths_are_generalised():
     assert text_at(found, ">body>div#p0.main.post-0") == "words and words"
 
 
+@pytest.mark.parametrize("inner", ["<section><h2>Part</h2><p>{0}</p></section><p>Between.</p><section><p>{0}</p></section>", "<ul><li>{0}</li><li>{0}</li></ul>", "<table><tr><td>{0}</td></tr></table>", "<blockquote><p>{0}</p></blockquote>"])
+@pytest.mark.parametrize("around", ["<article>{}</article>", '<div class="post-7">{}</div>', "<main><div>{}</div></main>"])
+def test_lead_and_sections_stay_together(inner, around):
+    body = around.format("<h1>Head</h1><p>A lead.</p>" + inner.format(STORY * 2) + "<p>An end.</p>")
+    text = main_text(PAGE.format(body=body, story=STORY), [])
+    assert text.startswith("Head\n\nA lead.\n\n") and text.endswith("\n\nAn end.") and text.count(STORY.strip()[-60:]) >= inner.count("{0}")
+    assert ("Between." in inner) == ("Between." in text) and "Popular" not in text and "First!" not in text
+
+
 def test_hosts_agree(spark):
     """A page whose own best container is a teaser list is read at the path its host has voted for."""
     rows = [(i, "http://A.example/x", page("div", "box")) for i in range(6)]
