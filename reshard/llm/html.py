@@ -34,6 +34,10 @@ DROPPED_NAMES = frozenset(
     " comment comments reply replies respond disqus share sharing social related recommended pagination pager widget toolbar skip".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
+# A name with one of these says what a page has around it, not what the element is.
+MODIFIERS = frozenset("has with without no".split())
+# Other people's texts, whatever their length.
+COMMENT_NAMES = frozenset("comment comments reply replies respond disqus related recommended".split())
 LIKELY_NAMES = frozenset("article content main post entry story body text".split())
 # A path wins on a host with this share of its pages' votes; the most voted always wins.
 LEAST_VOTES = 0.2
@@ -46,13 +50,17 @@ class Container:
     path: str
     parent: Container | None
     likely: bool
+    tag: str = ""
+    dropped: bool = False  # not article text
+    spared: bool = False  # and that only if the page has its text elsewhere
+    worth: float = 0.0  # characters, less those of links
     blocks: list[tuple[int, str]] = field(default_factory=list)
     score: float = 0.0
 
 
-def _names(attributes: str) -> tuple[list[str], set[str], bool]:
-    """Class names and id; their parts; whether the element is marked as something else than text."""
-    names, parts, dropped = [], set(), False
+def _names(attributes: str) -> tuple[list[str], set[str], set[str], bool]:
+    """Class names and id; their parts; the parts of those without modifier; whether the element is marked as something else than text."""
+    names, parts, plain, dropped = [], set(), set(), False
     for m in ATTRIBUTE.finditer(attributes):
         kind, value = m[1].lower(), html.unescape((m[2] or "").strip("\"'")).lower()
         if kind == "hidden":
@@ -62,8 +70,45 @@ def _names(attributes: str) -> tuple[list[str], set[str], bool]:
         else:
             for name in value.split():
                 names.append(("#" if kind == "id" else ".") + re.sub(r"\d+", "0", name))
-                parts.update(re.split(r"[-_]+", name))
-    return names, parts, dropped
+                own = re.split(r"[-_]+", name)
+                parts.update(own)
+                plain.update(own if MODIFIERS.isdisjoint(own) else ())
+    return names, parts, plain, dropped
+
+
+def _settled(found: list[Container]) -> list[Container]:
+    """Containers that are not left out, with their scores.
+
+    Where no article or main element with text is left, elements left out by their name or as a form stay if they hold
+    one, or more than half of the page's text outside of comments.
+    """
+
+    def kept() -> list[Container]:
+        out: dict[int, bool] = {}
+        for c in found:  # parents come before children
+            out[id(c)] = not c.dropped and (c.parent is None or out[id(c.parent)])
+        return [c for c in found if out[id(c)]]
+
+    below, holds = {id(c): c.worth for c in found}, {id(c): c.tag in ("article", "main") and not c.dropped for c in found}
+    hard: dict[int, bool] = {}
+    for c in found:
+        hard[id(c)] = c.dropped and not c.spared or c.parent is not None and hard[id(c.parent)]
+    for c in reversed(found):
+        if c.parent is not None and not hard[id(c)]:
+            below[id(c.parent)] += below[id(c)]
+            holds[id(c.parent)] |= holds[id(c)] and below[id(c)] > 0
+    left = kept()
+    if not any(c.tag in ("article", "main") and below[id(c)] > 0 for c in left):
+        for c in found:
+            if c.spared and not hard[id(c)] and (holds[id(c)] or 2 * below[id(c)] > below[id(found[0])]):
+                c.dropped = False
+        left = kept()
+    for c in left:
+        score = c.worth * (1.5 if c.likely else 1)
+        c.score += score
+        if c.parent is not None:
+            c.parent.score += score / 2
+    return left
 
 
 def containers_of(page: str) -> list[Container]:
@@ -72,8 +117,8 @@ def containers_of(page: str) -> list[Container]:
     Blocks count fully for their own container and half for the one around it, without the text of links.
     """
     found: list[Container] = []
-    stack: list[tuple[str, Container | None]] = []  # open containers; None: left out
-    here: Container | None = Container("", None, False)
+    stack: list[tuple[str, Container]] = []  # open containers
+    here = Container("", None, False)
     found.append(here)
     parts: list[str] = []
     in_link = link_chars = place = 0
@@ -81,18 +126,15 @@ def containers_of(page: str) -> list[Container]:
     def close_block() -> None:
         nonlocal parts, link_chars, place
         text = " ".join(html.unescape("".join(parts)).split())
-        if text and here is not None:
+        if text:
             here.blocks.append((place, text))
             place += 1
-            worth = max(0, len(text) - 2 * link_chars) * (1.5 if here.likely else 1)
-            here.score += worth
-            if here.parent is not None:
-                here.parent.score += worth / 2
+            here.worth += max(0, len(text) - 2 * link_chars)
         parts, link_chars = [], 0
 
     at = 0
     for m in MARKUP.finditer(page):
-        if here is not None and m.start() > at:
+        if m.start() > at:
             text = page[at : m.start()]
             parts.append(text)
             link_chars += len(text) if in_link else 0
@@ -113,26 +155,23 @@ def containers_of(page: str) -> list[Container]:
         if not m["end"]:
             if tag == "body" and any(t == "body" for t, _ in stack):
                 continue
-            names, words, dropped = _names(m["attributes"])
-            inside = here is not None and any(t in ("article", "main") for t, _ in stack)
-            dropped |= tag in DROPPED_TAGS or bool(words & DROPPED_NAMES) or (tag == "header" and not inside)
+            names, words, plain, dropped = _names(m["attributes"])
+            inside = any(t in ("article", "main") for t, _ in stack)
+            hard = dropped or tag in DROPPED_TAGS - {"form"} or (tag == "header" and not inside) or bool(plain & COMMENT_NAMES)
+            dropped = hard or tag in DROPPED_TAGS or bool(plain & DROPPED_NAMES)
             dropped &= tag not in ("body", "article", "main") or "comment" in words
-            if here is None or dropped:
-                stack.append((tag, None))
-                here = None
-                continue
             path = f"{here.path}>{tag}{''.join(sorted(names))}"
-            here = Container(path, here, tag in ("article", "main") or bool(words & LIKELY_NAMES))
+            likely = tag in ("article", "main") or bool(words & LIKELY_NAMES)
+            here = Container(path, here, likely, tag, dropped, spared=dropped and not hard)
             found.append(here)
             stack.append((tag, here))
         elif any(t == tag for t, _ in stack):
             while stack.pop()[0] != tag:
                 pass
             here = stack[-1][1] if stack else found[0]
-    if here is not None:
-        parts.append(page[at:])
+    parts.append(page[at:])
     close_block()
-    return found
+    return _settled(found)
 
 
 def best_path(found: list[Container]) -> str | None:

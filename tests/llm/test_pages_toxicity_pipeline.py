@@ -55,6 +55,17 @@ def test_lead_and_sections_stay_together(inner, around):
     assert ("Between." in inner) == ("Between." in text) and "Popular" not in text and "First!" not in text
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "layout-with-sidebar", "no-sidebar", "page-nav-open", "post-social", "overlay"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_wrappers_named_after_what_they_hold(name, tag):
+    inner = page(tag, "x9").replace("{", "").split("Buy now</div>")[1].split("<aside")[0]
+    for wrapped in (f'<div class="{name}">{inner}<aside>Popular</aside></div>', f'<form id="f">{inner}</form>'):
+        text = main_text(PAGE.format(body=wrapped, story="So it goes."), [])
+        assert text == TEXT
+    side = f'<div class="sidebar"><article><p>{STORY * 3}</p></article></div>'
+    assert main_text(PAGE.format(body=page("article").split("Buy now</div>")[1].split("<aside")[0] + side, story=""), []) == TEXT
+
+
 def test_hosts_agree(spark):
     """A page whose own best container is a teaser list is read at the path its host has voted for."""
     rows = [(i, "http://A.example/x", page("div", "box")) for i in range(6)]
