@@ -16,16 +16,21 @@ from reshard.llm.common import pieces
 from reshard.session import broadcast_if_small
 
 # How elements of HTML behave, and the names pages give to what is not the article.
+ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
+CONTAINERS = frozenset("body main article section div td table tr tbody ul ol dl nav header footer aside form blockquote figure center details fieldset".split())
+BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd th pre hr address caption figcaption summary legend option thead tfoot head html".split())
+ATTRIBUTES = r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*"
+# A button or select that is not closed before the next one of its name ends before the next block.
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|select|button)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
+    rf"|<svg\b{ATTRIBUTES}(?<=/)>"
+    rf"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg)\b{ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<short>select|button)\b{ATTRIBUTES}>(?:(?:(?!<(?P=short)\b).)*?</(?P=short)\s*>"
+    rf"|.*?(?=<(?P=short)\b|</?(?:{'|'.join(sorted(BLOCKS - {'option'}))})\b|\Z))"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>{ATTRIBUTES})>"
     r"|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
-CONTAINERS = frozenset("body main article section div td table tr tbody ul ol dl nav header footer aside form blockquote figure center details fieldset".split())
-BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd th pre hr address caption figcaption summary legend option thead tfoot head html".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 DROPPED_TAGS = frozenset("nav footer aside form fieldset".split())
 DROPPED_NAMES = frozenset(

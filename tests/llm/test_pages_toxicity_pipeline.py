@@ -66,6 +66,12 @@ def test_wrappers_named_after_what_they_hold(name, tag):
     assert main_text(PAGE.format(body=page("article").split("Buy now</div>")[1].split("<aside")[0] + side, story=""), []) == TEXT
 
 
+@pytest.mark.parametrize("raw", ['<svg class="i" viewBox="0 0 1 1"/>', "<svg><path d='M0'/></svg>", "<button>Menu", "<button><div>Menu</div></button>", "<select><option>One<option>Two", "<button>A<button>B"])
+def test_elements_without_end_do_not_swallow_the_page(raw):
+    body = f"<article><h1>Head</h1>{raw}<p>{STORY}</p><p>An end.</p></article>"
+    assert main_text(PAGE.format(body=body, story=STORY), []) == f"Head\n\n{STORY.strip()}\n\nAn end."
+
+
 def test_hosts_agree(spark):
     """A page whose own best container is a teaser list is read at the path its host has voted for."""
     rows = [(i, "http://A.example/x", page("div", "box")) for i in range(6)]
