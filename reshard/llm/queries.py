@@ -14,7 +14,10 @@ from reshard.llm.mixing import mix
 from reshard.llm.sharding import shuffle_to_shards
 from reshard.llm.substring_dedup import remove_repeats
 from reshard.llm.suffix_dedup import remove_repeated_bytes
+from reshard.llm.token_alignment import align_documents, link_quality, vocabulary_size
+from reshard.llm.token_shards import read_documents, write_token_shards
 from reshard.llm.toxicity import held_out, learn, toxicity_scores
+from reshard.session import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +93,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written as compressed shards and read back."""
+    path = new_folder(spark, "token-shards")
+    docs = table(spark, sf_dir, "documents")
+    write_token_shards(docs, path, tokenizer_file("word_bpe_49k.json"), end_id=1, by_word=True)
+    return read_documents(spark, path, with_ids=False)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned tokens of two tokenizers per document, and how common the linked pairs are."""
+    second = tokenizer_file("piece_bpe_32k.model")
+    rows = align_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), second)
+    keep = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
+    return link_quality(rows, vocabulary_size(second), keep)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -101,4 +127,6 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
+    "op11_token_output": op11_token_output,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
