@@ -114,4 +114,38 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_li
 FROM d JOIN k USING (r) LEFT JOIN n USING (r) LEFT JOIN g USING (r)
 """
 
-ORACLES = {"op8_jaccard_join": OP8, "op1_substring_dedup": OP1, "op3_decontamination": OP3, "op4_suffix_dedup": OP4, "op5_mixing": OP5, "op6_exact_dedup": OP6}
+OP12 = """
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM t),
+o AS (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM p, generate_series(1, 5) s(k) WHERE len(w) >= k),
+c AS (SELECT lang, k, w[i:i + k - 1] AS ph, count(*) AS f FROM o GROUP BY 1, 2, 3),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+f AS (SELECT * FROM c WHERE f >= 100),
+x AS (SELECT lang, ph, f AS a, k, unnest(generate_series(1, k - 1)) AS cut FROM f WHERE k > 1),
+s AS (
+  SELECT x.lang, x.ph, x.a, x.k, cut, l.f AS l, r.f AS r, n.n, (1000::HUGEINT * x.a * n.n) // (l.f::HUGEINT * r.f) AS score
+  FROM x JOIN f l ON l.lang = x.lang AND l.ph = x.ph[1:cut] JOIN f r ON r.lang = x.lang AND r.ph = x.ph[cut + 1:x.k] JOIN n ON n.lang = x.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, cut) = 1),
+u AS (
+  SELECT lang, ph[i:i + m - 1] AS ph, max(a) AS longer
+  FROM (SELECT lang, ph, a, k, m, unnest(generate_series(1, k - m + 1)) AS i FROM b, generate_series(2, 4) g(m) WHERE m < k)
+  GROUP BY 1, 2),
+k AS (
+  SELECT b.lang, array_to_string(b.ph, ' ') AS phrase, a, l, r, n, score
+  FROM b LEFT JOIN u ON u.lang = b.lang AND u.ph = b.ph WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM k QUALIFY rank <= 2000
+"""
+
+ORACLES = {
+    "op1_substring_dedup": OP1,
+    "op3_decontamination": OP3,
+    "op4_suffix_dedup": OP4,
+    "op5_mixing": OP5,
+    "op6_exact_dedup": OP6,
+    "op8_jaccard_join": OP8,
+    "op12_collocations": OP12,
+}

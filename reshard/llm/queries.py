@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reshard.llm.collocations import collocations
 from reshard.llm.decontamination import decontaminate
 from reshard.llm.exact_dedup import exact_groups
 from reshard.llm.html import extract_main_text
@@ -108,6 +109,11 @@ def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path, with_ids=False)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of each language whose words belong together most."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aligned tokens of two tokenizers per document, and how common the linked pairs are."""
     second = tokenizer_file("piece_bpe_32k.model")
@@ -128,5 +134,6 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
     "op11_token_output": op11_token_output,
+    "op12_collocations": op12_collocations,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
