@@ -324,6 +324,8 @@ SELECT host, seq, CASE WHEN seq % 5 <> 0 THEN CAST(floor((observed_ns - heartbea
   CASE WHEN seq % 5 <> 0 THEN 'running' ELSE 'not running' END AS status FROM ({HB}) h""",
     "throttle_split": f"SELECT shard, user_id, recording_id, host, held FROM ({_PLACED.format(rows=LOADED)}) p",
     "stream_apply": f"SELECT source, shard, user_id, recording_id, created_on FROM ({_net(OPS)}) n WHERE op = 'I'",
+    "stream_fold_state": f"SELECT source, shard, user_id, recording_id, created_on FROM ({_net(OPS)}) n WHERE op = 'I'",
+    "stream_fold_output": _net(OPS),
     "stream_resume": f"""
 SELECT source, log_file, log_pos FROM (SELECT *, row_number() OVER (PARTITION BY source
   ORDER BY log_file DESC, log_pos DESC) AS rn FROM ({CHG}) c) t WHERE rn = 1""",

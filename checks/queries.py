@@ -21,6 +21,7 @@ from reshard.session import broadcast_if_small, new_folder
 from reshard.sinks import files
 from reshard.sources import changelog, directory, snapshot
 from reshard.streaming.apply import StreamApply
+from reshard.streaming.state_fold import StateFold
 from reshard.streaming.listeners import Listener, listener_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -485,6 +486,37 @@ def stream_apply(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf).current(spark)
 
 
+def _state_fold(spark: SparkSession, sf: str, handle: Callable[[DataFrame, int], None]) -> StateFold:
+    path, per_trigger = _land_log(spark, sf)
+    fold = StateFold(fx.LOGGED_LIKES, new_folder(spark, "fold"))
+    events = changelog.stream_changelog(spark, path, files_per_trigger=per_trigger)
+    fold.start(events, handle, every=None).awaitTermination()
+    return fold
+
+
+@query
+def stream_fold_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows as the state store has them after a stream."""
+    return _state_fold(spark, sf, lambda facts, batch_id: facts.write.format("noop").mode("overwrite").save()).current(spark)
+
+
+@query
+def stream_fold_output(spark: SparkSession, sf: str) -> DataFrame:
+    """What such a stream hands on: the last operation of each key is the net effect of the whole log."""
+    path = new_folder(spark, "operations")
+
+    def keep(facts: DataFrame, batch_id: int) -> None:
+        folding.net_operation(facts, fx.LOGGED_LIKES).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    _state_fold(spark, sf, keep)
+    told = spark.read.parquet(path)
+    last = told.groupBy(*fx.LOGGED_LIKES.identity).agg(F.max_by(F.struct("op", "vals", "pos"), "batch_id").alias("last"))
+    return last.select(
+        "source", "shard", "user_id", "recording_id", "last.op", F.col("last.vals.created_on").alias("created_on"),
+        "last.pos.log_file", "last.pos.log_pos", "last.pos.row_idx", "last.pos.sub",
+    )
+
+
 @query
 def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     """Half of the log, a stop, the other half, and another run on the same state."""

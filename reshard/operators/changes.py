@@ -150,10 +150,15 @@ def accepted(changes: DataFrame) -> DataFrame:
 Rejects = Callable[[DataFrame], None] | str | None
 
 
-def hand_over(refused: DataFrame, rejects: Rejects) -> None:
-    """Give refused rows to the handler, or append them to the path."""
+def hand_over(refused: DataFrame, rejects: Rejects, batch_id: int | None = None) -> None:
+    """Give refused rows to the handler, or store them at the path.
+
+    Those of a micro-batch replace what an earlier try of the same batch has stored; others are appended.
+    """
     if callable(rejects):
         rejects(refused)
+    elif rejects is not None and batch_id is not None:
+        refused.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
     elif rejects is not None:
         refused.write.mode("append").parquet(rejects)
 

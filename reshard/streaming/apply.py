@@ -5,7 +5,8 @@ Layout below the state path:
     delta/batch_id=B/      facts per key of micro-batch B; written again in full when B is repeated
     rejects/batch_id=B/    changes that could not be routed; no folder when there were none
     held/batch_id=B/       facts of all keys whose shard is held back after batch B
-    released/batch_id=B/   facts that were held and became due without a new batch, after batch B
+    released/batch_id=B/   facts that were held and became due without a new batch, after batch B; one folder per call in it
+    sent/batch_id=B/       calls of release whose facts a database stream has written by the end of batch B
     positions/batch_id=B/  newest position per source so far; written last, so it also marks B as complete
     rotations/batch_id=B/  all rotations so far, for logs that name their file by rotations only
     base/upto=B/           facts per key of all batches up to B, from a compaction; -1 is a loaded snapshot
@@ -21,10 +22,10 @@ newest base are not read any more; ``vacuum`` removes them, but for the last one
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Collection
 from hashlib import sha256
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,16 +54,15 @@ from reshard.operators.loading import first_of_shards
 from reshard.operators.reports import last_position, render_statements
 from reshard.operators.routing import split_key_moves
 from reshard.plans.log_apply import only_shards, typed_changes
-from reshard.session import broadcast_if_small
+from reshard.session import broadcast_if_small, checkpointed
 from reshard.sinks.database import Connect, write_operations
 from reshard.spec import TableSpec
-
-Gate = Callable[[], bool]
-# Adds the flag ``held`` to rows with a shard.
-Hold = Callable[[DataFrame], DataFrame]
+from reshard.streaming.files import Gate, Hold, start_batches, stored as _stored, wait_while
+from reshard.streaming.state_fold import FoldedDatabases
 
 POSITIONS = "source string, log_file string, log_pos bigint"
 ROTATIONS = "source string, seq bigint, log_file string"
+CALLS = "call string"
 
 
 class StreamApply:
@@ -161,20 +161,61 @@ class StreamApply:
             marked.unpersist()
 
     def moved(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """Net operations of the keys whose fold went forward with this batch."""
-        identity = self.spec.identity
-        new = spark.read.parquet(self._at("delta", batch_id)).select(*identity, "base", "image")
-        before = self.facts(spark, batch_id - 1) if batch_id > 0 or self._base(spark)[1] is not None else None
-        if before is None:
-            return net_operation(new, self.spec)
-        old = before.select(*identity, F.col("base").alias("_base"), F.col("image").alias("_image"))
-        both = new.join(old, identity, "left")
-        base, image = F.greatest("base", "_base"), F.greatest("image", "_image")
-        went_on = ~(base.eqNullSafe(F.col("_base")) & image.eqNullSafe(F.col("_image")))
-        return net_operation(both.where(went_on).select(*identity, base.alias("base"), image.alias("image")), self.spec)
+        """Net operations of the keys whose fold went forward with this batch, and of those released but not yet sent.
+
+        Earlier facts are cut down to these keys before they are folded, and read from the shards of these keys only.
+        """
+        identity, parts = self.spec.identity, [*self.spec.identity, "base", "image"]
+        new = spark.read.parquet(self._at("delta", batch_id)).select(*parts)
+        unsent = self.unsent(spark, batch_id)
+        if unsent is not None:
+            new = fold_facts(new.unionByName(unsent.select(*parts)), self.spec)
+        new = new.persist()
+        try:
+            shards = [r["shard"] for r in new.select("shard").distinct().collect()]
+            keys = broadcast_if_small(new.select(*identity))
+            before = self.facts(spark, batch_id - 1, shards, keys) if batch_id > 0 or self._base(spark)[1] is not None else None
+            if before is None:
+                return net_operation(checkpointed(new), self.spec)
+            old = before.select(*identity, F.col("base").alias("_base"), F.col("image").alias("_image"), F.lit(True).alias("_known"))
+            again = [] if unsent is None else [unsent.select(*identity).distinct().withColumn("_unsent", F.lit(True))]
+            both = new.join(old, identity, "left")
+            for marks in again:
+                both = both.join(marks, identity, "left")
+            base, image = F.greatest("base", "_base"), F.greatest("image", "_image")
+            went_on = ~(base.eqNullSafe(F.col("_base")) & image.eqNullSafe(F.col("_image")))
+            if again:
+                went_on = went_on | F.coalesce("_unsent", F.lit(False))
+            moved = both.where(went_on).select(*identity, base.alias("base"), image.alias("image"))
+            return net_operation(checkpointed(moved), self.spec)
+        finally:
+            new.unpersist()
+
+    def _calls(self, spark: SparkSession) -> DataFrame | None:
+        """Facts of all calls of release, with the call they came from."""
+        released = _stored(spark, f"{self.path}/released")
+        return released if released is None or "call" in released.columns else released.withColumn("call", F.lit(""))
+
+    def unsent(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """Released facts that no batch before this one has sent to databases."""
+        released, sent = self._calls(spark), _stored(spark, self._at("sent", batch_id - 1), CALLS)
+        if released is None or sent is None:
+            return released
+        return released.join(F.broadcast(sent), "call", "left_anti")
+
+    def mark_sent(self, spark: SparkSession, batch_id: int, sent: list[str]) -> None:
+        """Remember the calls of release whose facts are in the databases after this batch."""
+        rows = spark.createDataFrame([(c,) for c in sent], CALLS)
+        rows.coalesce(1).write.mode("overwrite").parquet(self._at("sent", batch_id))
+
+    def release_calls(self, spark: SparkSession) -> list[str]:
+        """Names of all calls of release so far that had something to release; few, as each is made by hand."""
+        released = self._calls(spark)
+        return [] if released is None else [r["call"] for r in released.select("call").distinct().collect()]
 
     def release(self, spark: SparkSession) -> None:
-        """Ask ``hold`` again about what is held, without waiting for a new batch. Safe to repeat."""
+        """Ask ``hold`` again about what is held, without waiting for a new batch. Safe to repeat: what was released before
+        is not released again."""
         last = self.last_batch(spark)
         held = None if last is None else _stored(spark, self._at("held", last))
         if held is None:
@@ -182,8 +223,18 @@ class StreamApply:
         parts = [*self.spec.identity, "base", "image"]
         marked = held if self.hold is None else self.hold(held).where(~F.coalesce("held", F.lit(False)))
         due = marked.select(*parts)
+        before = self._calls(spark)
+        if before is not None:
+            known = before.where(F.col("batch_id") == last).select(*parts).alias("k")
+            same = [F.col(f"d.{c}").eqNullSafe(F.col(f"k.{c}")) for c in parts]
+            due = due.alias("d").join(known, same, "left_anti")
         # What is released stays among the held facts of its batch: folding it twice is harmless, losing it is not.
-        due.write.mode("append").parquet(self._at("released", last))
+        due = due.persist()
+        try:
+            if not due.isEmpty():
+                due.write.parquet(f"{self._at('released', last)}/call={uuid.uuid4().hex}")
+        finally:
+            due.unpersist()
 
     def _observed(self, changes: DataFrame) -> tuple[list[Observation], DataFrame]:
         """Single-key operations, with counters attached that fill up along the way."""
@@ -250,26 +301,30 @@ class StreamApply:
         return upto, spark.table(self._table(upto))
 
     def facts(
-        self, spark: SparkSession, upto: int | None = None, shards: Collection[int] | None = None
+        self, spark: SparkSession, upto: int | None = None, shards: Collection[int] | None = None, keys: DataFrame | None = None
     ) -> DataFrame | None:
-        """Folded facts of all complete batches, or of those up to ``upto``; ``shards`` limits what is read."""
+        """Folded facts of all complete batches, or of those up to ``upto``.
+
+        ``shards`` limits what is read, ``keys`` (rows with the identity) what is folded.
+        """
+
+        def wanted(facts: DataFrame) -> DataFrame:
+            facts = only_shards(facts, shards)
+            return facts if keys is None else facts.join(keys, self.spec.identity, "left_semi")
+
         last = self.last_batch(spark)
         from_base, base = self._base(spark)
+        base = None if base is None else wanted(base)
         if last is None:
-            return base if base is None else only_shards(base, shards)
-        last = last if upto is None else min(last, upto)
-        inside = (F.col("batch_id") > from_base) & (F.col("batch_id") <= last)
-        deltas = _stored(spark, f"{self.path}/delta")
-        if deltas is None:
             return base
+        last = last if upto is None else min(last, upto)
         parts = [*self.spec.identity, "base", "image"]
-        deltas = deltas.where(inside).select(*parts)
         # A batch may have released facts after it was complete, and a base may have been made in between.
-        released = _stored(spark, f"{self.path}/released")
-        if released is not None:
-            deltas = deltas.unionByName(released.where((F.col("batch_id") >= from_base) & (F.col("batch_id") <= last)).select(*parts))
-        if shards is not None:
-            deltas, base = only_shards(deltas, shards), None if base is None else only_shards(base, shards)
+        later = [(_stored(spark, f"{self.path}/delta"), from_base + 1), (self._calls(spark), from_base)]
+        found = [wanted(f.where(F.col("batch_id").between(first, last)).select(*parts)) for f, first in later if f is not None]
+        if not found:
+            return base
+        deltas = found[0] if len(found) == 1 else found[0].unionByName(found[1])
         deltas = fold_facts(deltas, self.spec)
         return deltas if base is None else merge_facts(base, deltas, self.spec)
 
@@ -325,7 +380,9 @@ class StreamApply:
         keep = upto if last is None else min(upto, last - 1)
         old = [("delta", "batch_id", upto), ("base", "upto", upto - 1), ("compactions", "upto", upto - 1)]
         # The next batch, or the repetition of the last one, builds on the one before.
-        old += [(part, "batch_id", keep - 1) for part in ("positions", "rotations", "held", "released")]
+        old += [(part, "batch_id", keep - 1) for part in ("positions", "rotations", "held", "sent")]
+        # Released facts are in the base; those of the last batches may not have been sent to databases yet.
+        old.append(("released", "batch_id", keep - 2))
         context = spark.sparkContext
         removed = 0
         for part, name, end in old:
@@ -339,12 +396,6 @@ class StreamApply:
         return removed
 
 
-def wait_while(paused: Gate | None, pause_seconds: float = 1.0) -> None:
-    """Hold the batch back as long as the gate says so."""
-    while paused is not None and paused():
-        time.sleep(pause_seconds)
-
-
 def stream_to_databases(
     events: DataFrame,
     spec: TableSpec,
@@ -360,11 +411,17 @@ def stream_to_databases(
 ) -> StreamingQuery:
     """Continuous apply to shard databases.
 
-    The facts of all keys are kept beside the checkpoint (or in ``state``, which can be seeded and compacted): a batch is
-    folded with what is known of its keys, and only keys whose fold has moved forward are written. So late files and
-    repeated batches never put older rows over newer ones. ``rotating`` logs name their file by rotations only; events
-    without a known file are refused like others that cannot be routed: they go to ``rejects``, or fail the batch.
+    The fold of all keys is kept in the state store (``FoldedDatabases``), so a batch meets the state of its own keys only. So late
+    files and repeated batches never put older rows over newer ones.
+
+    Logs that are ``rotating``, which name their file by rotations only, and a ``state`` that is seeded, compacted or
+    holds shards back keep the facts as files instead: a batch is folded with what is known of its keys there, and only keys
+    whose fold has moved forward, or was released meanwhile, are written. Events that cannot be routed, also those
+    without a known file, go to ``rejects``, or fail the batch.
     """
+    if state is None and not rotating:
+        folded = FoldedDatabases(spec, connect, checkpoint, paused, pause_seconds, rejects=rejects, **options)
+        return folded.start(events, every)
     kept = state or StreamApply(spec, f"{checkpoint.rstrip('/')}-state", rotating=rotating)
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -375,29 +432,15 @@ def stream_to_databases(
         if refused is not None:
             if rejects is None:
                 raise ValueError(f"batch {batch_id} has changes that cannot be routed, see {kept._at('rejects', batch_id)}")
-            hand_over(refused, rejects)
+            hand_over(refused, rejects, batch_id)
+        calls = kept.release_calls(spark)
         write_operations(kept.moved(spark, batch_id), spec, connect, **options)
+        if calls:
+            kept.mark_sent(spark, batch_id, calls)
 
     return start_batches(events, process, checkpoint, every)
 
 
-def start_batches(
-    events: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
-) -> StreamingQuery:
-    writer = events.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
-
-
-def _stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """A table that may not have been written yet; with a schema no file has to be opened for it."""
-    try:
-        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def stop_between_batches(query: StreamingQuery, wait_seconds: float = 6.0) -> None:
     """Let a running batch finish, up to a limit, then stop. A cut batch is repeated on restart."""
     end = time.monotonic() + wait_seconds

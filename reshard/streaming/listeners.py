@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reshard.functions.events import table_matches
-from reshard.streaming.apply import start_batches
+from reshard.streaming.files import start_batches
 
 
 @dataclass(frozen=True)
