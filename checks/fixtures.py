@@ -62,6 +62,28 @@ SELECT CASE WHEN event_id % 2 = 0 THEN 'db-a' ELSE 'db-b' END AS source, event_i
 FROM {{events}}
 """
 
+# The same log with some events, rotations among them, very far behind the others.
+RAW_FAR = f"""
+SELECT source, CASE WHEN seq % 3001 < 2 THEN seq * 1000000007 ELSE seq END AS seq, event_name, log_pos, next_log_name FROM ({RAW}) r
+"""
+
+# The snapshot with ids that leave large holes.
+SPARSE = f"""
+SELECT source, CASE WHEN id % 997 < 5 THEN id * 1000000007 ELSE id END AS id FROM ({SNAPSHOT}) s
+"""
+
+# Runs of the log that were applied, by their borders: every seventh is missing, others reach back into the run before.
+RUNS = f"""
+SELECT source, run, log_file AS upto_file, log_pos AS upto_pos,
+  coalesce(CASE WHEN run % 7 = 5 THEN lag(log_file, 2) OVER (PARTITION BY source ORDER BY run)
+    ELSE lag(log_file) OVER (PARTITION BY source ORDER BY run) END, '') AS after_file,
+  coalesce(CASE WHEN run % 7 = 5 THEN lag(log_pos, 2) OVER (PARTITION BY source ORDER BY run)
+    ELSE lag(log_pos) OVER (PARTITION BY source ORDER BY run) END, 0) AS after_pos
+FROM (SELECT source, run, max_by(log_file, seq) AS log_file, max_by(log_pos, seq) AS log_pos
+  FROM (SELECT *, CAST((seq - seq % 40) / 40 AS BIGINT) AS run FROM ({CHANGES}) c) d GROUP BY source, run) e
+"""
+APPLIED_RUNS = f"SELECT * FROM ({RUNS}) r WHERE run % 7 <> 3"
+
 HEARTBEATS = """
 SELECT 'host' || CAST(user_id % 8 AS STRING) AS host, event_id AS seq,
   1700000000000000000 + event_id * 500000000 AS heartbeat_ns,

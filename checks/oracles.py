@@ -22,6 +22,9 @@ POSITIONS = _sql(fx.POSITIONS)
 FOUR = _sql(fx.FOUR_SOURCES)
 STATEMENTS = _sql(fx.STATEMENTS)
 AUDITED = _sql(fx.AUDITED)
+RAW_FAR = _sql(fx.RAW_FAR)
+SPARSE = _sql(fx.SPARSE)
+APPLIED_RUNS = _sql(fx.APPLIED_RUNS)
 
 
 def _slot(key: str) -> str:
@@ -175,10 +178,25 @@ _HIGH = " ".join(
     if code not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
 )
 
+# Merged runs: a run opens another range when it begins behind all that came before it.
+_ISLANDS = f"""
+WITH r AS (SELECT source, (after_file, after_pos) AS a, (upto_file, upto_pos) AS z FROM ({APPLIED_RUNS}) r),
+m AS (SELECT *, max(z) OVER (PARTITION BY source ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM r),
+n AS (SELECT *, sum(CASE WHEN top IS NULL OR a > top THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY a, z) AS island FROM m)
+SELECT source, min(a) AS a, max(z) AS z FROM n GROUP BY source, island
+"""
+
 ORACLES: dict[str, str] = {
     "snapshot_keyset_scan": f"SELECT id, user_id, recording_id, created_on FROM ({SNAP}) s WHERE id > 100 ORDER BY id LIMIT 2000",
     "snapshot_chunk_plan": f"""
 SELECT CAST(id // 2000 AS BIGINT) AS chunk, min(id) AS lo, max(id) AS hi, count(*) AS rows FROM ({SNAP}) s GROUP BY 1""",
+    "snapshot_ranges": f"""
+WITH r AS (SELECT source, id, (row_number() OVER (PARTITION BY source ORDER BY id) - 1) // 100 AS chunk FROM ({SPARSE}) s),
+c AS (SELECT source, chunk, min(id) AS lo, max(id) AS hi, count(*) AS rows FROM r GROUP BY 1, 2),
+n AS (SELECT *, lead(lo) OVER (PARTITION BY source ORDER BY chunk) AS nx FROM c)
+SELECT source, CAST(chunk AS INTEGER) AS chunk, lo, hi, rows, CASE WHEN chunk = 0 AND nx IS NULL THEN '1 = 1'
+  WHEN chunk = 0 THEN 'id < ' || nx || ' or id is null' WHEN nx IS NULL THEN 'id >= ' || lo
+  ELSE 'id >= ' || lo || ' and id < ' || nx END AS predicate FROM n""",
     "changelog_scan": f"""
 SELECT source, log_file, log_pos, row_idx, database_name, table_name, {DML} AS dml,
   CASE WHEN {DML} <> 'Insert' THEN user_id END AS user_id, CASE WHEN {DML} <> 'Delete' THEN new_user_id END AS new_user_id,
@@ -283,6 +301,7 @@ FROM (SELECT source, CAST(id // 200 AS BIGINT) AS chunk, count(*) AS rows FROM (
     "compact_changes": _net(OPS),
     "apply_changes": _merged(LOADED, _net(OPS)),
     "bootstrap_state": _merged(LOADED, _net(OPS_BEHIND)),
+    "bootstrap_chunks": _merged(LOADED, _net(OPS)),
     "bootstrap_partial_starts": _merged(LOADED, _net(OPS_PARTLY_BEHIND)),
     "apply_changes_one_shard": f"SELECT * FROM ({_merged(LOADED, _net(OPS))}) m WHERE shard = 3",
     "apply_progress": f"""
@@ -299,6 +318,18 @@ UNION ALL SELECT 'null_key', count(*) FROM ({_FAULTY}) f WHERE bad IS NULL AND s
     "assign_log_file": f"""
 SELECT source, seq, event_name, log_pos,
   last_value(next_log_name IGNORE NULLS) OVER (PARTITION BY source ORDER BY seq) AS log_file FROM ({RAW}) r""",
+    "assign_log_file_far": f"""
+SELECT source, seq, event_name, log_pos,
+  last_value(next_log_name IGNORE NULLS) OVER (PARTITION BY source ORDER BY seq) AS log_file FROM ({RAW_FAR}) r""",
+    "applied_ranges": f"""
+SELECT source, a[1] AS after_log_file, a[2] AS after_log_pos, z[1] AS upto_log_file, z[2] AS upto_log_pos FROM ({_ISLANDS}) i""",
+    "missing_ranges": f"""
+SELECT source, b[1] AS after_log_file, b[2] AS after_log_pos, a[1] AS upto_log_file, a[2] AS upto_log_pos
+FROM (SELECT source, a, lag(z) OVER (PARTITION BY source ORDER BY a) AS b FROM ({_ISLANDS}) i) g WHERE b IS NOT NULL""",
+    "skip_applied_ranges": f"""
+SELECT source, seq, log_file, log_pos, row_idx FROM ({CHG}) c WHERE NOT EXISTS (SELECT 1 FROM ({APPLIED_RUNS}) r
+  WHERE r.source = c.source AND (c.log_file, c.log_pos) > (r.after_file, r.after_pos)
+    AND (c.log_file, c.log_pos) <= (r.upto_file, r.upto_pos))""",
     "log_gap_audit": f"""
 WITH a AS ({AUDITED}), s AS (SELECT *, lag(log_pos) OVER (PARTITION BY source, log_file ORDER BY seq) AS b FROM a),
 f AS (SELECT source, log_file, string_split(log_file, '.')[-1] AS digits, count(*) AS rows,
@@ -323,6 +354,14 @@ SELECT host, seq, lag_ns, paused FROM (SELECT *, lag(paused, 1, FALSE) OVER (PAR
 SELECT host, seq, CASE WHEN seq % 5 <> 0 THEN CAST(floor((observed_ns - heartbeat_ns) / 1e9) AS BIGINT) END AS seconds_behind,
   CASE WHEN seq % 5 <> 0 THEN 'running' ELSE 'not running' END AS status FROM ({HB}) h""",
     "throttle_split": f"SELECT shard, user_id, recording_id, host, held FROM ({_PLACED.format(rows=LOADED)}) p",
+    "throttle_asof": f"""
+WITH o AS (SELECT *, 1700000000250000000 + ((CAST(split_part(log_file, '.', 2) AS BIGINT) - 17) * 1000 + (log_pos - 120) // 73) * 500000000
+    AS at_ns FROM ({OPS}) o),
+p AS (SELECT o.*, d.host FROM o LEFT JOIN ({DIRECTORY}) d ON d.db_index = o.shard),
+h AS (SELECT host, observed_ns, max(observed_ns - heartbeat_ns) > 1500000000 AS paused FROM ({HB}) h
+  WHERE observed_ns > heartbeat_ns GROUP BY 1, 2)
+SELECT source, log_file, log_pos, row_idx, sub, shard, p.host, coalesce(h.paused, FALSE) AS held
+FROM p ASOF LEFT JOIN h ON p.host = h.host AND p.at_ns >= h.observed_ns""",
     "stream_apply": f"SELECT source, shard, user_id, recording_id, created_on FROM ({_net(OPS)}) n WHERE op = 'I'",
     "stream_fold_state": f"SELECT source, shard, user_id, recording_id, created_on FROM ({_net(OPS)}) n WHERE op = 'I'",
     "stream_fold_output": _net(OPS),

@@ -13,7 +13,7 @@ from reshard.functions import events as ev
 from reshard.functions import hashing as hs
 from reshard.functions import positions as ps
 from reshard.functions import values as vl
-from reshard.operators import audit, changes, folding, lag, loading, reports, routing
+from reshard.operators import audit, changes, folding, intervals, lag, loading, reports, routing
 from reshard.plans import log_apply
 from reshard.plans.batch_load import load_rows
 from reshard.plans.log_apply import apply_log, single_key_operations, typed_changes
@@ -92,6 +92,12 @@ def snapshot_chunk_plan(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot.chunk_plan(_snapshot(spark, sf), 2000)
 
 
+@query
+def snapshot_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges of equal row counts per source, of ids with large holes, with the predicates that read them."""
+    return snapshot.snapshot_ranges(fx.build(spark, sf, fx.SPARSE), 100, by=("source",))
+
+
 @query
 def changelog_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Land the log as files, read it back with its schema, and expand it."""
@@ -385,6 +391,23 @@ def bootstrap_partial_starts(spark: SparkSession, sf: str) -> DataFrame:
     return log_apply.bootstrap_state(_snapshot(spark, sf), fx.row_events(spark, sf), starts, fx.LOGGED_LIKES)
 
 
+@query
+def bootstrap_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """The table read in three chunks while its log goes on, each with a mark from before it was read."""
+    table, log = load_rows(_snapshot(spark, sf), fx.LOGGED_LIKES), fx.row_events(spark, sf).persist()
+    end = log.agg(F.max("seq")).scalar()
+    chunk = (F.col("recording_id") % 3).alias("chunk")
+    read, marks = [], []
+    for number, (low, seen) in enumerate(((5, 5), (1, 3), (2, 7))):  # eighths of the log; the chunks are not read in order
+        marks.append(reports.last_position(log.where(8 * F.col("seq") <= low * end)).select(
+            F.lit(number).cast("bigint").alias("chunk"), "source", ps.position(F.col("log_file"), F.col("log_pos")).alias("low")
+        ))
+        rows = apply_log(table, log.where(8 * F.col("seq") <= seen * end), fx.LOGGED_LIKES)
+        read.append(rows.select("*", chunk).where(F.col("chunk") == number).drop("shard"))
+    chunks, lows = read[0].unionByName(read[1]).unionByName(read[2]), marks[0].unionByName(marks[1]).unionByName(marks[2])
+    return log_apply.bootstrap_chunks(chunks, lows, log.where(8 * F.col("seq") > end), fx.LOGGED_LIKES)
+
+
 @query
 def apply_changes_one_shard(spark: SparkSession, sf: str) -> DataFrame:
     """Apply the log to one shard folder only."""
@@ -416,6 +439,44 @@ def assign_log_file(spark: SparkSession, sf: str) -> DataFrame:
     return changes.assign_log_file(fx.build(spark, sf, fx.RAW)).select("source", "seq", "event_name", "log_pos", "log_file")
 
 
+@query
+def assign_log_file_far(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for a log in which some events, also rotations, are numbered far behind the others."""
+    return changes.assign_log_file(fx.build(spark, sf, fx.RAW_FAR)).select("source", "seq", "event_name", "log_pos", "log_file")
+
+
+def _applied(spark: SparkSession, sf: str) -> DataFrame:
+    columns = [F.col(c) for c in ("source", "after_file", "after_pos", "upto_file", "upto_pos")]
+    return fx.build(spark, sf, fx.APPLIED_RUNS).select(*intervals.read_range(*columns))
+
+
+def _borders(ranges: DataFrame) -> DataFrame:
+    ends = [F.col(f"{end}.{part}").alias(f"{end}_{part}") for end in ("after", "upto") for part in ("log_file", "log_pos")]
+    return ranges.select("source", *ends)
+
+
+@query
+def applied_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """What of the log was applied, merged from two halves that were merged before."""
+    runs = _applied(spark, sf)
+    odd = F.xxhash64("after") % 2 == 0
+    halves = [intervals.merge_ranges(runs.where(half), partitions=3) for half in (odd, ~odd)]
+    return _borders(intervals.merge_ranges(halves[0].unionByName(halves[1]), partitions=5))
+
+
+@query
+def missing_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """What of the log was left out."""
+    return _borders(intervals.gaps(intervals.merge_ranges(_applied(spark, sf)), partitions=3))
+
+
+@query
+def skip_applied_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes that are still to be applied, late ones included."""
+    left = intervals.skip_ranges(_changes(spark, sf), intervals.merge_ranges(_applied(spark, sf)))
+    return left.select("source", "seq", "log_file", "log_pos", "row_idx")
+
+
 @query
 def log_gap_audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit.log_gap_audit(fx.build(spark, sf, fx.AUDITED))
@@ -463,6 +524,16 @@ def throttle_split(spark: SparkSession, sf: str) -> DataFrame:
     return marked.select("shard", "user_id", "recording_id", "host", "held")
 
 
+@query
+def throttle_asof(spark: SparkSession, sf: str) -> DataFrame:
+    """Operations that were due while the host of their shard was paused, by their place in the log as time."""
+    event = (ps.file_number(F.col("pos.log_file")) - 17) * 1000 + F.floor((F.col("pos.log_pos") - 120) / 73)
+    timed = _operations(spark, sf).withColumn("at_ns", F.lit(1_700_000_000_250_000_000) + event * 500_000_000)
+    beats = fx.build(spark, sf, fx.HEARTBEATS)
+    marked = lag.throttle_as_of(timed, _directory(spark, sf), beats, fx.LOGGED_LIKES, "at_ns", partitions=5)
+    return marked.select("source", "pos.log_file", "pos.log_pos", "pos.row_idx", "pos.sub", "shard", "host", "held")
+
+
 # Streaming
 
 

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from reshard.functions.events import DELETE, INSERT, NO_DML, UPDATE, first_word, table_matches, word_kind
 from reshard.functions.positions import position
 from reshard.functions.values import image_value
+from reshard.operators.intervals import as_of
 from reshard.session import broadcast_if_small
 from reshard.spec import TableSpec
 
@@ -35,46 +35,13 @@ def assign_log_file(
 ) -> DataFrame:
     """Give every event the file named by the last rotation of its source, NULL before the first.
 
-    ``known`` adds rotations from earlier reads, as (source, seq, log_file). Rotations are few, one per
-    log file, so they become ranges [from, to) cut at bucket borders and every event looks up its bucket.
-    The log itself is not shuffled while the ranges stay below ``max_broadcast_rows``.
+    ``known`` adds rotations from earlier reads, as (source, seq, log_file). The log itself is not shuffled while the
+    rotations, one per log file, stay below ``max_broadcast_rows``.
     """
     points = rotations(events)
     if known is not None:
         points = points.unionByName(known.select("source", "seq", "log_file"))
-    first = points.agg(
-        F.min("seq").alias("lo"),
-        F.max("seq").alias("hi"),
-        F.count("*").alias("n"),
-        F.approx_count_distinct("source").alias("k"),
-    ).first()
-    if not first["n"]:
-        return events.withColumn("log_file", F.lit(None).cast("string"))
-    lo, n, sources = first["lo"], first["n"], first["k"]
-    # About one rotation per source and bucket, so there are about twice as many pieces as rotations.
-    width = max(1, math.ceil((first["hi"] - lo + 1) / max(1, n // max(1, sources))))
-    final = (first["hi"] - lo) // width + 1
-
-    def bucket(seq: Column) -> Column:
-        return F.least(F.floor((seq - F.lit(lo)) / F.lit(width)), F.lit(final))
-
-    following = F.lead("seq").over(Window.partitionBy("source").orderBy("seq"))
-    pieces = points.withColumn("_to", following).select(
-        "source",
-        F.col("seq").alias("_from"),
-        "_to",
-        "log_file",
-        F.explode(
-            F.sequence(bucket(F.col("seq")), F.coalesce(bucket(F.col("_to") - 1), F.lit(final)))
-        ).alias("_bucket"),
-    )
-    if 3 * (n + sources) <= max_broadcast_rows:
-        pieces = F.broadcast(pieces)
-    within = (F.col("seq") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("seq") < F.col("_to")))
-    left = events.drop("log_file").withColumn("_bucket", bucket(F.col("seq"))).alias("e")
-    right = pieces.alias("p")
-    same = (F.col("e.source") == F.col("p.source")) & (F.col("e._bucket") == F.col("p._bucket"))
-    return left.join(right, same & within, "left").select("e.*", "p.log_file").drop("_bucket")
+    return as_of(events, points, "source", "seq", "log_file", max_broadcast_rows)
 
 
 def expand_row_images(events: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reshard.operators.intervals import as_of
 from reshard.operators.ordered import with_previous
 from reshard.operators.routing import with_database
 from reshard.spec import TableSpec
@@ -56,3 +57,21 @@ def throttle_split(operations: DataFrame, directory: DataFrame, lag: DataFrame,
     flags = directory.join(lag.select("host", "paused"), "host", "left")
     placed = with_database(operations, flags, spec)
     return placed.withColumn("held", F.coalesce(F.col("paused"), F.lit(False))).drop("paused")
+
+
+def throttle_as_of(
+    operations: DataFrame, directory: DataFrame, heartbeats: DataFrame, spec: TableSpec, at: str, partitions: int | None = None
+) -> DataFrame:
+    """Mark operations as ``held`` when the host of their shard was paused at their time ``at``, in nanoseconds.
+
+    The flag of a host holds from one measurement to the next, so only measurements that change it are looked up; one at the
+    very time of an operation counts. Before the first measurement nothing is held. Unlike ``throttle_split``, which asks
+    for the latest flags, this gives the same answer whenever it is run.
+    """
+    flags = measured(heartbeats).select("host", "observed_ns", "paused")
+    # Of measurements at the same time a pausing one counts.
+    flags = flags.groupBy("host", "observed_ns").agg(F.max("paused").alias("paused"))
+    changes = with_previous(flags, ["host"], "observed_ns", "paused", "_was", F.lit(False), partitions)
+    changes = changes.where(F.col("paused") != F.col("_was")).select("host", F.col("observed_ns").alias(at), "paused")
+    placed = as_of(with_database(operations, directory, spec), changes, "host", at, "paused")
+    return placed.withColumn("held", F.coalesce(F.col("paused"), F.lit(False))).drop("paused")

@@ -76,6 +76,19 @@ def with_running_total(
     )
 
 
+def with_running_max(
+    rows: DataFrame, group: list[str], order: str, value: str, name: str, partitions: int | None = None
+) -> DataFrame:
+    """Largest ``value`` of all rows before each row, per group in ``order``; NULL for the first."""
+    placed = _placed(rows, group, [order], partitions)
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    tops = placed.groupBy(*group, "_part").agg(F.max(value).alias("_top"))
+    carried = tops.select(*group, "_part", F.max("_top").over(earlier).alias("_carried"))
+    within = Window.partitionBy("_part", *group).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    marked = placed.withColumn("_near", F.max(value).over(within))
+    return _with_summary(marked, carried, group).withColumn(name, F.greatest("_near", "_carried")).drop("_part", "_at", "_near", "_carried")
+
+
 def with_row_number(
     rows: DataFrame, group: list[str], order: list[str], name: str = "row_no", max_groups: int | None = None
 ) -> DataFrame:

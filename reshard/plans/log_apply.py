@@ -7,19 +7,23 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reshard.functions.positions import change_position
 from reshard.operators.changes import (
     Rejects,
     expand_row_images,
+    hand_over,
     match_tables,
     placed_in_log,
     project_changes,
     routable,
 )
-from reshard.operators.folding import apply_changes, compact_changes
+from reshard.operators.folding import apply_changes, change_facts, compact_changes, fold_facts, row_facts, state_rows
 from reshard.operators.routing import split_key_moves
+from reshard.operators.routing import route_snapshot, snapshot_accepted, snapshot_complete, snapshot_rejects
 from reshard.plans.batch_load import load_rows
 from reshard.sinks.database import Connect, write_operations
 from reshard.sinks.files import read_shards, write_shards
+from reshard.session import broadcast_if_small
 from reshard.sources.changelog import after
 from reshard.spec import TableSpec
 
@@ -94,3 +98,39 @@ def bootstrap_state(
     of_rows, of_log = (f"{rejects}/{p}" if isinstance(rejects, str) else rejects for p in ("snapshot", "log"))
     rows = load_rows(snapshot, spec, rejects=of_rows)
     return apply_log(rows, after(events, starts, keep_unknown=True), spec, of_log)
+
+
+def bootstrap_chunks(
+    chunks: DataFrame, marks: DataFrame, events: DataFrame, spec: TableSpec, rejects: Rejects = None, chunk: str = "chunk"
+) -> DataFrame:
+    """Snapshot and log in one, where each chunk of the snapshot was read at a time of its own, while the log went on.
+
+    ``marks`` (chunk, and source with the spec's source column, ``low``) has a log position from before the chunk was read. A row counts
+    as inserted there: changes behind the mark win over what the chunk has, since it may or may not have seen them, and
+    changes up to it are in the chunk. So the log is needed from the first mark on only, the chunks can be read in any
+    order and again, and no table is locked.
+
+    A chunk read twice gives the row with the later mark. Chunks without a mark, and rows without a complete key, are refused:
+    they go to ``rejects``, or fail the job.
+    """
+    of_rows, of_log = (f"{rejects}/{p}" if isinstance(rejects, str) else rejects for p in ("snapshot", "log"))
+    if rejects is not None:
+        hand_over(snapshot_rejects(chunks, spec), of_rows)
+        rows = snapshot_accepted(chunks, spec)
+    else:
+        rows = snapshot_complete(chunks, spec)
+    keys = [chunk, *([spec.source] if spec.source else [])]
+    placed = route_snapshot(rows, spec).join(broadcast_if_small(marks.select(*keys, "low")), keys, "left")
+    if rejects is not None:
+        hand_over(placed.where(F.col("low").isNull()).drop("low"), of_rows)
+        placed = placed.where(F.col("low").isNotNull())
+    text = F.concat(F.lit("no mark for chunk "), F.coalesce(F.col(chunk).cast("string"), F.lit("NULL")))
+    known = F.when(F.col("low").isNull(), F.raise_error(text).cast("string")).otherwise(F.col("low.log_file"))
+    at = change_position(known, F.col("low.log_pos"), F.lit(2**31 - 1))
+    if spec.snapshot_id in placed.columns:  # of rows with the same key in one read the first id is kept, as in every load
+        values = F.min_by(F.struct(*spec.values), spec.snapshot_id).alias("_values")
+        placed = placed.groupBy(*spec.identity, at.alias("_read")).agg(values).select(*spec.identity, "_read", "_values.*")
+    else:
+        placed = placed.select(*spec.identity, at.alias("_read"), *spec.values)
+    facts = row_facts(placed, F.col("_read"), spec)
+    return state_rows(fold_facts(facts.unionByName(change_facts(single_key_operations(events, spec, of_log), spec)), spec), spec)
