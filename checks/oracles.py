@@ -372,6 +372,19 @@ SELECT source, log_file, log_pos FROM (SELECT *, row_number() OVER (PARTITION BY
     "throttled_apply": f"""
 SELECT source, shard, user_id, recording_id, created_on FROM ({_PLACED.format(rows=_net(OPS))}) p WHERE op = 'I' AND NOT held""",
     "throttled_release": f"SELECT source, shard, user_id, recording_id, created_on FROM ({_net(OPS)}) n WHERE op = 'I'",
+    "stream_replay_dedup": f"SELECT source, log_file, log_pos, row_idx, seq FROM ({CHG}) c",
+    "stream_from_position": f"""
+WITH e AS (SELECT source, log_file, log_pos, min(seq) AS seq, CAST(sum(CASE {DML} WHEN 'Update' THEN 2 ELSE 1 END) AS INTEGER) AS images
+  FROM ({CHG}) c GROUP BY 1, 2, 3), t AS (SELECT max(seq) AS m FROM e),
+p AS (SELECT max((log_file, log_pos)) AS p FROM e, t WHERE 4 * seq <= m AND source = 'db-a')
+SELECT source, seq, log_file, log_pos, images FROM e, t, p WHERE CASE WHEN source = 'db-a' THEN (log_file, log_pos) > p ELSE 2 * seq > m END""",
+    "listener_progress": f"""
+WITH e AS (SELECT source, log_file, log_pos, min(database_name) AS d, min(table_name) AS t FROM ({CHG}) c GROUP BY 1, 2, 3),
+l AS (SELECT 'likes' AS listener, * FROM e WHERE starts_with(lower(d), 'shard_') AND lower(t) = 'user_recording_like'
+  UNION ALL SELECT 'comments', * FROM e WHERE t = 'comment' UNION ALL SELECT 'archive', * FROM e WHERE d = 'archive'
+  UNION ALL SELECT 'everything', * FROM e)
+SELECT listener, source, max((log_file, log_pos))[1] AS log_file, max((log_file, log_pos))[2] AS log_pos, count(*) AS rows
+FROM l GROUP BY 1, 2""",
     "listener_fanout": f"""
 SELECT 'likes' AS listener, count(*) AS rows FROM ({MATCHED}) m
 UNION ALL SELECT 'comments', count(*) FROM ({CHG}) c WHERE table_name = 'comment'

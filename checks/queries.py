@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,11 @@ from reshard.plans.batch_load import load_rows
 from reshard.plans.log_apply import apply_log, single_key_operations, typed_changes
 from reshard.session import broadcast_if_small, new_folder
 from reshard.sinks import files
-from reshard.sources import changelog, directory, snapshot
+from reshard.sources import changelog, directory, position_log, snapshot
 from reshard.streaming.apply import StreamApply
 from reshard.streaming.state_fold import StateFold
-from reshard.streaming.listeners import Listener, listener_counts
+from reshard.streaming.files import start_batches
+from reshard.streaming.listeners import Listener, listen_each, listener_counts, listener_positions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -640,6 +642,53 @@ def throttled_release(spark: SparkSession, sf: str) -> DataFrame:
     return apply.current(spark)
 
 
+@query
+def stream_replay_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """A log whose newest files are read again in the middle of the stream and at its end."""
+    log, path, out = _changes(spark, sf).select("source", "log_file", "log_pos", "row_idx", "seq"), new_folder(spark, "landed"), new_folder(spark, "once")
+    end = log.agg(F.max("seq")).scalar()
+    first, rest = log.where(2 * F.col("seq") <= end), log.where(2 * F.col("seq") > end)
+    for part in (first, first.where(4 * F.col("seq") > end), rest, log.where(8 * F.col("seq") > 7 * end)):
+        part.coalesce(2).write.mode("append").parquet(path)
+    landed = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+    def keep(part: DataFrame, batch_id: int) -> None:
+        part.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    start_batches(changes.drop_replayed_stream(landed), keep, new_folder(spark, "checkpoint"), None).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query
+def stream_from_position(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream that is given a position in the middle of a file for one source; the other starts at its end, from which more comes."""
+    log, path, out = fx.row_events(spark, sf), new_folder(spark, "landed"), new_folder(spark, "read")
+    end = log.agg(F.max("seq")).scalar()
+    position_log.land_changelog(log.where(2 * F.col("seq") <= end), path)
+    given = reports.last_position(log.where(4 * F.col("seq") <= end)).where("source = 'db-a'").first()
+    start = {"db-a": (given["log_file"], given["log_pos"])}
+    checkpoint = new_folder(spark, "checkpoint")
+
+    def keep(part: DataFrame, batch_id: int) -> None:
+        part.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    for _ in range(2):  # the second run goes on where the first one stopped
+        start_batches(position_log.stream_positions(spark, path, start), keep, checkpoint, None).awaitTermination()
+        position_log.land_changelog(log.where(2 * F.col("seq") > end), path)
+    return spark.read.parquet(out).select("source", "seq", "log_file", "log_pos", F.size("rows").alias("images"))
+
+
+@query
+def listener_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """How far each of several listeners has come that keep their own place in the log."""
+    path, per_trigger = _land_log(spark, sf)
+    told = [replace(one, handler=lambda part, batch_id: part.write.format("noop").mode("overwrite").save()) for one in LISTENERS]
+    checkpoint = new_folder(spark, "listeners")
+    for running in listen_each(changelog.stream_changelog(spark, path, files_per_trigger=per_trigger), told, checkpoint, every=None).values():
+        running.awaitTermination()
+    return listener_positions(spark, told, checkpoint)
+
+
 @query
 def listener_fanout(spark: SparkSession, sf: str) -> DataFrame:
     return listener_counts(_changes(spark, sf), LISTENERS)

@@ -173,6 +173,17 @@ def drop_replayed(changes: DataFrame) -> DataFrame:
     return changes.dropDuplicates(["source", "log_file", "log_pos", "row_idx"])
 
 
+def drop_replayed_stream(changes: DataFrame, delay: str = "1 hour", time: str | None = None) -> DataFrame:
+    """The same on a stream: copies that come within ``delay`` of the first one are dropped, and what is known of it then goes.
+
+    Time is when a change arrives, so that a late file is never mistaken for an old one. With ``time``, a column of the changes, it is
+    theirs: then changes that are older than the newest by more than ``delay`` are dropped as well.
+    """
+    when = F.current_timestamp() if time is None else F.col(time)
+    timed = changes.withColumn("_when", when).withWatermark("_when", delay)
+    return timed.dropDuplicatesWithinWatermark(["source", "log_file", "log_pos", "row_idx"]).drop("_when")
+
+
 def distinct_positions(changes: DataFrame) -> DataFrame:
     """Positions as set members: file, offset and kind of log."""
     kind = F.col("log_type") if "log_type" in changes.columns else F.lit("binary")

@@ -11,14 +11,18 @@ from reshard.operators.reports import last_position
 from reshard.session import broadcast_if_small
 
 
-def event_schema(image_type: str = "bigint") -> T.StructType:
+def event_ddl(image_type: str = "bigint") -> str:
     """One log event: where it is in the log, what it is about, and its row images."""
-    return T.StructType.fromDDL(
+    return (
         "source string, seq bigint, log_file string, log_pos bigint, event_name string, next_log_name string, "
         f"database_name string, table_name string, rows array<array<{image_type}>>"
     )
 
 
+def event_schema(image_type: str = "bigint") -> T.StructType:
+    return T.StructType.fromDDL(event_ddl(image_type))
+
+
 def read_changelog(spark: SparkSession, path: str, image_type: str = "bigint", fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(event_schema(image_type)).format(fmt).load(path)
 
