@@ -34,11 +34,9 @@ from reshard.functions.positions import change_position, position
 from reshard.operators.changes import (
     Rejects,
     accepted,
-    assign_log_file,
     hand_over,
     placed_in_log,
     rejected,
-    rotations,
     skip_applied,
 )
 from reshard.operators.folding import (
@@ -58,10 +56,10 @@ from reshard.session import broadcast_if_small, checkpointed
 from reshard.sinks.database import Connect, write_operations
 from reshard.spec import TableSpec
 from reshard.streaming.files import Gate, Hold, start_batches, stored as _stored, wait_while
+from reshard.streaming.rotations import Rotations
 from reshard.streaming.state_fold import FoldedDatabases
 
 POSITIONS = "source string, log_file string, log_pos bigint"
-ROTATIONS = "source string, seq bigint, log_file string"
 CALLS = "call string"
 
 
@@ -79,6 +77,7 @@ class StreamApply:
         preview: Callable[[DataFrame, int], None] | None = None,
         progress: Callable[[int, dict], None] | None = None,
         hold: Hold | None = None,
+        compact_every: int | None = None,
     ) -> None:
         """``paused`` is asked before every batch. ``rotating`` logs name their file by rotation events only.
 
@@ -90,10 +89,14 @@ class StreamApply:
         operations went to each database; the counts are taken along the way.
         ``hold`` marks shards that must wait, as ``throttle_split`` does for hosts whose replicas are behind. Their
         changes are kept and folded with later ones until they are due; all others go on.
+        ``compact_every`` so many batches the deltas are folded into a new base and what that makes obsolete is removed, so
+        that neither the folders nor what a read has to fold grow with the age of the stream. Give it to streams that
+        nobody else reads an older base of.
         """
         self.spec, self.path = spec, path.rstrip("/")
         self.paused, self.pause_seconds, self.rotating = paused, pause_seconds, rotating
         self.buckets, self.preview, self.progress, self.hold = buckets, preview, progress, hold
+        self.compact_every = compact_every
 
     def _at(self, part: str, batch_id: int) -> str:
         return f"{self.path}/{part}/batch_id={batch_id}"
@@ -137,12 +140,7 @@ class StreamApply:
         """Events with their log file, without those that lie before what was forgotten."""
         spark = events.sparkSession
         if self.rotating:
-            known = _stored(spark, self._at("rotations", batch_id - 1), ROTATIONS)
-            if self.preview is None:
-                # One per log file; all are kept, as a late file may hold changes from before the last of them.
-                points = rotations(events) if known is None else known.unionByName(rotations(events))
-                points.distinct().coalesce(1).write.mode("overwrite").parquet(self._at("rotations", batch_id))
-            events = assign_log_file(events, known)
+            events = Rotations(f"{self.path}/rotations").place(events, batch_id, remember=self.preview is None)
         passed = self._forgotten(spark)
         return events if passed is None else skip_applied(events, passed)
 
@@ -252,7 +250,18 @@ class StreamApply:
     def start(self, events: DataFrame, every: str | None = "2 seconds") -> StreamingQuery:
         """Start the stream; without ``every`` it takes what is there and stops."""
         checkpoint = "checkpoint" if self.preview is None else "preview-checkpoint"
-        return start_batches(events, self.process, f"{self.path}/{checkpoint}", every)
+
+        def run(batch: DataFrame, batch_id: int) -> None:
+            self.process(batch, batch_id)
+            self.tidy(batch.sparkSession, batch_id)
+
+        return start_batches(events, run, f"{self.path}/{checkpoint}", every)
+
+    def tidy(self, spark: SparkSession, batch_id: int) -> None:
+        """After every ``compact_every`` batches: compact, and remove what is obsolete. For when nothing else reads the batch."""
+        if self.compact_every and self.preview is None and (batch_id + 1) % self.compact_every == 0:
+            self.compact(spark)
+            self.vacuum(spark)
 
     def seed(self, rows: DataFrame, starts: DataFrame | tuple[str, int]) -> None:
         """Begin with loaded rows, taken to be as old as the log position from which changes are read.
@@ -437,6 +446,7 @@ def stream_to_databases(
         write_operations(kept.moved(spark, batch_id), spec, connect, **options)
         if calls:
             kept.mark_sent(spark, batch_id, calls)
+        kept.tidy(spark, batch_id)
 
     return start_batches(events, process, checkpoint, every)
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from reshard.functions.events import table_matches
 from reshard.operators.reports import last_position
 from reshard.streaming.files import start_batches, stored
+from reshard.streaming.rotations import Rotations
 
 
 @dataclass(frozen=True)
@@ -52,9 +53,16 @@ def notify(changes: DataFrame, listeners: list[Listener], batch_id: int = 0) ->
         changes.unpersist()
 
 
-def listen(changes: DataFrame, listeners: list[Listener], checkpoint: str, every: str | None = "2 seconds") -> StreamingQuery:
-    """Fan a stream out to the listeners."""
-    return start_batches(changes, lambda batch, batch_id: notify(batch, listeners, batch_id), checkpoint, every)
+def listen(
+    changes: DataFrame, listeners: list[Listener], checkpoint: str, every: str | None = "2 seconds", rotating: bool = False
+) -> StreamingQuery:
+    """Fan a stream out to the listeners. Events of a ``rotating`` log, which names its files by rotations only, get their file."""
+    turns = Rotations(f"{checkpoint}-rotations")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        notify(turns.place(batch, batch_id) if rotating else batch, listeners, batch_id)
+
+    return start_batches(changes, run, checkpoint, every)
 
 
 def listen_each(

@@ -12,7 +12,7 @@ from reshard.sources import position_log
 from reshard.sources.changelog import event_schema
 from reshard.sources.position_log import PositionReader, land_changelog, stream_positions
 from reshard.streaming.files import start_batches
-from reshard.streaming.listeners import Listener, listen_each, listener_positions
+from reshard.streaming.listeners import Listener, listen, listen_each, listener_positions
 
 
 def land(spark, operations, path, source="src"):
@@ -156,3 +156,18 @@ def test_names_of_listeners(spark):
         listen_each(None, [Listener("a", "*", "*"), Listener("a", "*", "*")], "c")
     with pytest.raises(ValueError, match="names"):
         listen_each(None, [Listener("a/b", "*", "*")], "c")
+
+
+def test_listeners_of_a_rotating_log_get_the_file(spark, tmp_path):
+    """Also for events of a batch that comes after the one with the rotation."""
+    path, got = str(tmp_path / "log"), []
+
+    def part(rows):
+        return spark.createDataFrame([("s", n, None, 10 * n, e, nxt, "db", "items", None) for n, e, nxt in rows], event_schema())
+
+    part([(1, "RotateEvent", "f1"), (2, "WriteRowsEventV2", None)]).coalesce(1).write.mode("append").parquet(path)
+    part([(3, "WriteRowsEventV2", None), (4, "RotateEvent", "f2"), (5, "WriteRowsEventV2", None)]).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(event_schema()).option("maxFilesPerTrigger", 1).parquet(path)
+    listener = Listener("all", "*", "*", lambda rows, n: got.extend((r["seq"], r["log_file"]) for r in rows.collect()))
+    listen(stream, [listener], str(tmp_path / "c"), every=None, rotating=True).awaitTermination()
+    assert sorted(got) == [(1, "f1"), (2, "f1"), (3, "f1"), (4, "f2"), (5, "f2")]

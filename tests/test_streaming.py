@@ -261,6 +261,19 @@ def test_vacuum_keeps_what_is_needed(spark, tmp_path):
     assert again.current(spark, shards=[1]).count() == 0
 
 
+def test_tidies_itself_up(spark, tmp_path):
+    """With ``compact_every`` the deltas do not pile up, and late files still find their place."""
+    operations = random_operations(24, 240, 20)
+    parts = [operations[i::8] for i in range(8)]
+    landed, apply = str(tmp_path / "log"), StreamApply(ITEMS, str(tmp_path / "state"), compact_every=3)
+    for part in parts:
+        land(spark, part, landed)
+    run(apply, spark, landed)
+    assert current(apply, spark) == sequential(operations)
+    assert sorted(p.name for p in (tmp_path / "state" / "base").iterdir()) == ["upto=5"]
+    assert sorted(p.name for p in (tmp_path / "state" / "delta").iterdir() if "=" in p.name) == ["batch_id=6", "batch_id=7"]
+
+
 @pytest.mark.parametrize("spec, buckets", [(ITEMS, None), (SOURCED, 8)])
 def test_removed_keys_can_be_forgotten(spark, tmp_path, spec, buckets):
     operations = random_operations(16, 240, 60)
