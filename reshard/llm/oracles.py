@@ -56,7 +56,7 @@ FROM d JOIN h USING (r) LEFT JOIN k USING (r) LEFT JOIN t USING (r)
 """
 
 OP5 = """
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
          md5('mix|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS k
   FROM documents),
@@ -84,9 +84,24 @@ b1 AS (SELECT e.source, max({'size': size, 'k': k}).k AS best FROM e JOIN g1 ON
 e1 AS (SELECT e.*, x0 OR coalesce(k = best, FALSE) AS x1 FROM e LEFT JOIN b1 ON e.source IS NOT DISTINCT FROM b1.source),
 g2 AS (SELECT source, any_value(rest) - coalesce(sum(size) FILTER (x1), 0) AS gap FROM e1 GROUP BY source),
 b2 AS (SELECT e1.source, max({'size': size, 'k': k}).k AS best FROM e1 JOIN g2 ON e1.source IS NOT DISTINCT FROM g2.source
-  WHERE NOT x1 AND size > 0 AND size <= gap GROUP BY e1.source)
-SELECT doc_id, size, source_size, target, (size * (whole + (x1 OR coalesce(k = best, FALSE))::BIGINT))::BIGINT AS taken
-FROM e1 LEFT JOIN b2 ON e1.source IS NOT DISTINCT FROM b2.source
+  WHERE NOT x1 AND size > 0 AND size <= gap GROUP BY e1.source),
+e2 AS (SELECT e1.*, x1 OR coalesce(k = best, FALSE) AS x2 FROM e1 LEFT JOIN b2 ON e1.source IS NOT DISTINCT FROM b2.source),
+g3 AS (SELECT source, any_value(rest) - coalesce(sum(size) FILTER (x2), 0) AS gap FROM e2 GROUP BY source),
+l3 AS (SELECT e2.source, k, size, gap::BIGINT AS gap FROM e2 JOIN g3 ON e2.source IS NOT DISTINCT FROM g3.source
+  WHERE NOT x2 AND size > 0 AND size <= gap),
+f AS (
+  SELECT source, k, size, gap, FALSE AS more FROM l3
+  UNION ALL
+  SELECT source, k, size, gap, more FROM (
+    SELECT source, k, size, more, (gap - sum(CASE WHEN more THEN size ELSE 0 END) OVER (PARTITION BY source))::BIGINT AS gap
+    FROM (
+      SELECT source, k, size, gap,
+        size + coalesce(sum(size) OVER (PARTITION BY source ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= gap AS more
+      FROM f WHERE NOT more) i) j
+  WHERE more OR size <= gap),
+m AS (SELECT DISTINCT source, k FROM f WHERE more)
+SELECT doc_id, size, source_size, target, (size * (whole + (x2 OR m.k IS NOT NULL)::BIGINT))::BIGINT AS taken
+FROM e2 LEFT JOIN m ON e2.source IS NOT DISTINCT FROM m.source AND e2.k = m.k
 """
 
 OP6 = """
