@@ -6,9 +6,9 @@ token of one side is linked with every token of the other side in its group.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reshard.llm.common import pieces, written
-from reshard.llm.tokens import Kept, bpe_tokenizer, byte_classes, loaded, ranges, shipped, strings, words_of
+from reshard.llm.tokens import JOINED, KEPT_CHARS, Kept, bpe_tokenizer, byte_classes, loaded, ranges, shipped, strings, words_of
 
 # Pairs that are broadcast at most: the most frequent ones. Rarer pairs meet by shuffle, and none of them can be hot.
 FREQUENT_PAIRS = 1 << 19
@@ -55,61 +55,120 @@ class Sides:
             entry = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(entry[3:5], 16)]) if self.b.is_byte(i) else entry.replace("▁", " ").encode())
         self.b_space = self.b.piece_to_id("▁")
+        self.a_lengths = np.array([len(x) for x in self.a_bytes], np.int64)
+        self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.a_parts, self.b_parts = pa.array(self.a_bytes, pa.large_binary()), pa.array(self.b_bytes, pa.large_binary())
+        # Ids as they stand in the text of groups: behind each of the first side `,` or `|`, of the second `,` or `;`.
+        shown = [f"{i}{end}" for i in range(len(self.a_bytes)) for end in ",|"] + [f"{i}{end}" for i in range(len(self.b_bytes)) for end in ",;"]
+        self.shown = pa.array(shown, pa.large_string())
         self.kept = Kept(KEPT_PIECES)
 
-    def _b_ids(self, texts: list[str]) -> list[list[int]]:
-        """Ids of texts that begin with a space, which the second tokenizer adds itself."""
-        out = self.b.encode([t[1:] for t in texts], num_threads=1)
-        # Of nothing it makes nothing, not the space.
-        return [ids or [self.b_space] for ids in out]
+    def _ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """Ids of both sides for texts that begin with a space, and which texts both sides give back byte by byte."""
+        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        # The second tokenizer adds the space itself, but makes nothing of nothing.
+        b = [ids or [self.b_space] for ids in self.b.encode([t[1:] for t in texts], num_threads=1)]
+        whole = [t.encode() for t in texts]
+        same = np.ones(len(texts), bool)
+        for ids, lengths, parts in ((a, self.a_lengths, self.a_parts), (b, self.b_lengths, self.b_parts)):
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            data = parts.take(pa.array(flat)).buffers()[2].to_pybytes()
+            ends = np.cumsum(lengths[flat])[np.cumsum(list(map(len, ids))) - 1].tolist()
+            start = 0
+            for i, end in enumerate(ends):
+                same[i] &= data[start:end] == whole[i]
+                start = end
+        return a, b, same
 
     def known(self, texts: list[str]) -> list[tuple]:
         """For texts that begin with a space: n_a, n_b, n_groups, groups as text, pairs and how often each is linked.
 
-        None for a text that the tokens of one side do not give back. A pair is a * (size of the second vocabulary) + b.
+        The groups are None for a text that the tokens of one side do not give back. A pair is a * (size of the second
+        vocabulary) + b. Texts that do not end with white space are encoded many at once, as neither tokenizer joins across
+        the space that follows.
         """
-        out: list = []
-        size = self.b.get_piece_size()
-        encodings = self.a.encode_batch_fast(texts, add_special_tokens=False)
-        for text, a, b in zip(texts, (e.ids for e in encodings), self._b_ids(texts)):
-            a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            whole = text.encode()
-            if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-                out.append((0, 0, 0, None, b"", b""))
-                continue
-            groups = aligned(a, b, a_parts, b_parts)
-            shown = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups])
-            links: Counter[int] = Counter()
-            for x, y in groups:
-                if len(x) == len(y) == 1:
-                    links[x[0] * size + y[0]] += 1
-                else:
-                    of_y = Counter(y).items()
-                    for i, m in Counter(x).items():
-                        for j, n in of_y:
-                            links[i * size + j] += m * n
-            pairs, often = np.fromiter(links, np.int64, len(links)), np.fromiter(links.values(), np.int64, len(links))
-            out.append((len(a), len(b), len(groups), shown.encode(), pairs.tobytes(), often.tobytes()))
+        out: list = [(0, 0, 0, None, b"", b"")] * len(texts)
+        open_ = [i for i, t in enumerate(texts) if not t[-1].isspace() and len(t) <= KEPT_CHARS]
+        units = [open_[i : i + JOINED] for i in range(0, len(open_), JOINED)]
+        alone = set(range(len(texts))).difference(open_)
+        a, b, same = self._ids(["".join([texts[i] for i in unit]) for unit in units]) if units else ([], [], [])
+        good = [(unit, x, y) for unit, x, y, fine in zip(units, a, b, same) if fine]
+        alone.update(i for unit, fine in zip(units, same) if not fine for i in unit)
+        if alone:
+            single = sorted(alone)
+            good += [([i], x, y) for i, x, y, fine in zip(single, *self._ids([texts[i] for i in single])) if fine]
+        if good:
+            order = [i for unit, _, _ in good for i in unit]
+            found = self._aligned(
+                *(np.fromiter(chain.from_iterable([g[side] for g in good]), np.int64) for side in (1, 2)),
+                np.cumsum([len(texts[i].encode()) for i in order]),
+            )
+            for i, value in zip(order, found):
+                out[i] = value
+        return out
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, text_ends: np.ndarray) -> list[tuple]:
+        """The same for texts that stand one behind the other, whose ends are ends of tokens on both sides."""
+        size = len(self.b_bytes)
+        a_at, b_at = end_index(self.a_lengths[a]), end_index(self.b_lengths[b])
+        common = sorted(a_at.keys() & b_at.keys())
+        groups = len(common)
+        # Groups of a text, and tokens of a group on both sides.
+        group_ends = np.searchsorted(np.array(common), text_ends, "right")
+        a_ends = np.fromiter(map(a_at.__getitem__, common), np.int64, groups) + 1
+        b_ends = np.fromiter(map(b_at.__getitem__, common), np.int64, groups) + 1
+        a_sizes, b_sizes = np.diff(a_ends, prepend=0), np.diff(b_ends, prepend=0)
+        a_group, b_group = np.repeat(np.arange(groups), a_sizes), np.repeat(np.arange(groups), b_sizes)
+        texts = len(text_ends)
+        text_of = np.repeat(np.arange(texts), np.diff(group_ends, prepend=0))
+
+        # Text of the groups: tokens of a group's first side, then those of its second.
+        a_last, b_last = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        a_last[a_ends - 1] = 1
+        b_last[b_ends - 1] = 1
+        codes = np.zeros(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + (b_ends - b_sizes)[a_group]] = 2 * a + a_last
+        codes[np.arange(len(b)) + a_ends[b_group]] = 2 * len(self.a_bytes) + 2 * b + b_last
+        shown = self.shown.take(pa.array(codes))
+        data = shown.buffers()[2].to_pybytes()
+        token_ends = (a_ends + b_ends)[group_ends - 1]
+        shown_ends = np.frombuffer(shown.buffers()[1], np.int64)[token_ends]
+
+        # Links: the different ids of both sides of each group, with how often they stand there, all with all.
+        (a_of, a_ids, a_times), (b_of, b_ids, b_times) = _times(a_group, a), _times(b_group, b)
+        b_starts, b_counts = np.searchsorted(b_of, np.arange(groups)), np.bincount(b_of, minlength=groups)
+        each = b_counts[a_of]
+        others = ranges(b_starts[a_of], each)
+        pairs = np.repeat(a_ids, each) * size + b_ids[others]
+        links = np.repeat(a_times, each) * b_times[others]
+        of_text = np.repeat(text_of[a_of], each)
+        order = np.lexsort((pairs, of_text))
+        pairs, links, of_text = pairs[order], links[order], of_text[order]
+        first = np.flatnonzero(np.concatenate(([True], (pairs[1:] != pairs[:-1]) | (of_text[1:] != of_text[:-1]))))
+        pairs, links = pairs[first], np.add.reduceat(links, first)
+        pair_ends = np.searchsorted(of_text[first], np.arange(texts), "right")
+
+        n_a, n_b = np.diff(a_ends[group_ends - 1], prepend=0), np.diff(b_ends[group_ends - 1], prepend=0)
+        n_groups = np.diff(group_ends, prepend=0)
+        pairs_data, links_data = pairs.tobytes(), links.tobytes()
+        out, shown_at, pair_at = [], 0, 0
+        for x, y, g, s, p in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), shown_ends.tolist(), (8 * pair_ends).tolist()):
+            out.append((x, y, g, data[shown_at : s - 1], pairs_data[pair_at:p], links_data[pair_at:p]))
+            shown_at, pair_at = s, p
         return out
 
 
-def aligned(a: list[int], b: list[int], a_parts: list[bytes], b_parts: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """Groups of ids between the byte offsets at which tokens of both sides end."""
-    a_ends, b_ends = _ends(a_parts), _ends(b_parts)
-    groups, i, j = [], 0, 0
-    for end in sorted(a_ends.keys() & b_ends.keys()):
-        up_to_i, up_to_j = a_ends[end] + 1, b_ends[end] + 1
-        groups.append((a[i:up_to_i], b[j:up_to_j]))
-        i, j = up_to_i, up_to_j
-    return groups
+def end_index(lengths: np.ndarray) -> dict[int, int]:
+    """Byte offset at which each token ends -> its number."""
+    ends = np.cumsum(lengths).tolist()
+    return dict(zip(ends, range(len(ends))))
 
 
-def _ends(parts: list[bytes]) -> dict[int, int]:
-    ends, end = {}, 0
-    for i, part in enumerate(parts):
-        end += len(part)
-        ends[end] = i
-    return ends
+def _times(groups: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different (group, id) in order, with how often each occurs."""
+    both = np.sort(groups << 32 | ids)
+    first = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
+    return both[first] >> 32, both[first] & 0xFFFFFFFF, np.diff(np.append(first, len(both)))
 
 
 def _cut(texts: pa.Array, whole: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
