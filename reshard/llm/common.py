@@ -16,6 +16,8 @@ from reshard.session import BROADCAST_ROWS, broadcast_if_small, checkpointed, ne
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Words separated by ASCII white space.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
+# Rows of one group that may meet in one task of a join.
+HOT_ROWS = 500
 # Bytes of text a Python task works on at once; a longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
 
@@ -138,6 +140,22 @@ def only(rows: DataFrame, keys_of: DataFrame, keys: list[str], keep: bool = True
     return rows.alias("a").join(few, same("a", "b", keys), "left_semi" if keep else "left_anti")
 
 
+def join_counted(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
+    """Inner join of rows with their groups, one row per ``key``, where a group may have any share of the rows.
+
+    ``count`` has the rows of each group. Those of a group beyond HOT_ROWS are dealt to several tasks by a hash of the row, and the
+    group's one row is repeated for each. Rows that agree in everything are dealt alike; HOT_ROWS keeps such groups together.
+    """
+    most = 4 * partitions(rows.sparkSession)
+    salts = F.least(F.ceil(F.col(count) / HOT_ROWS), F.lit(most)).cast("int")
+    groups = stored(groups.withColumn("_salts", salts))
+    hot = broadcast_if_small(groups.where("_salts > 1").select(F.col(key).alias("_hot"), F.col("_salts").alias("_own")))
+    salt = F.coalesce(F.pmod(row_hash(rows), F.col("_own")).cast("int"), F.lit(0)).alias("_salt")
+    dealt = rows.join(hot, F.col(key) == F.col("_hot"), "left").select(*rows.columns, salt)
+    repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    return dealt.join(repeated, [key, "_salt"]).drop("_salt")
+
+
 # --- in Python tasks -------------------------------------------------------------------------------------------------
 
 

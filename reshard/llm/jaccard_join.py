@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from reshard.llm.common import ascii_lower, only, pieces, rolled, stored, word_hashes, written
+from reshard.llm.common import ascii_lower, join_counted, only, pieces, rolled, stored, word_hashes, written
 from reshard.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -223,7 +223,7 @@ def jaccard_components(
     rows = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("sum")).alias("doc"), text.alias("text"))
     texts = rows.select("doc", F.md5("text").alias("digest"))
     first = texts.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("weight"))
-    texts = written(texts.join(first, "digest").select("doc", "first", "weight"), "texts")
+    texts = written(join_counted(texts, first, "digest", "weight").select("doc", "first", "weight"), "texts")
     again = texts.where(F.col("doc") != F.col("first")).select("doc")
     single = only(rows, again, ["doc"], keep=False)
 
@@ -273,8 +273,9 @@ def jaccard_components(
     root = F.when(F.col("n") > 0, F.coalesce("root", "first")).otherwise(F.col("doc"))
     links = F.when(F.col("n") > 0, F.coalesce("links", F.lit(0)) + F.coalesce("all", "weight") - 1).otherwise(F.lit(0))
     out = out.select("doc", "n", root.alias("root"), links.alias("links"))
-    lowest = out.groupBy("root").agg(F.min("doc.id").alias("lowest"))
-    out = out.join(lowest, "root")
+    out = written(out, "rooted")
+    lowest = out.groupBy("root").agg(F.min("doc.id").alias("lowest"), F.count("*").alias("size"))
+    out = join_counted(out, lowest, "root", "size")
     return out.select(
         F.col("doc.id").alias(id_col),
         F.col("n").cast("long").alias("n_shingles"),
