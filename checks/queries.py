@@ -396,7 +396,7 @@ def bootstrap_partial_starts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def bootstrap_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The table read in three chunks while its log goes on, each with a mark from before it was read."""
-    table, log = load_rows(_snapshot(spark, sf), fx.LOGGED_LIKES), fx.row_events(spark, sf).persist()
+    table, log = load_rows(_snapshot(spark, sf), fx.LOGGED_LIKES), fx.row_events(spark, sf)
     end = log.agg(F.max("seq")).scalar()
     chunk = (F.col("recording_id") % 3).alias("chunk")
     read, marks = [], []
