@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reshard.llm.common import attach, covered, only, pieces, rolled, same, stored, window_minimum, word_hashes, written
+from reshard.llm.common import attach, covered, join_counted, only, pieces, rolled, same, stored, window_minimum, word_hashes, written
 
 REPEAT_WORDS = 50
 # Words of the anchor of a block: its run of this length with the smallest hash.
@@ -40,7 +40,7 @@ def later_copies(rows: DataFrame) -> DataFrame:
     """id, sum of documents whose whole text also stands in a document with a smaller id."""
     kept = rows.select("id", "sum", F.md5("text").alias("digest"))
     first = kept.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    found = kept.join(first, "digest").where(F.col("first").isNotNull() & F.coalesce(F.col("first") < F.col("id"), F.lit(True)))
+    found = join_counted(kept, first, "digest", "n").where(F.col("first").isNotNull() & F.coalesce(F.col("first") < F.col("id"), F.lit(True)))
     return found.select("id", "sum").distinct()
 
 
