@@ -27,8 +27,17 @@ def start_batches(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, asked of the file system: a failed read would be reported to query listeners."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+
+
 def stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """A table that may not have been written yet; with a schema no file has to be opened for it."""
+    if not exists(spark, path):
+        return None
     try:
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as missing:
