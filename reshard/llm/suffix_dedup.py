@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reshard.llm.common import attach, mixed, only, pieces, stored, written
+from reshard.llm.common import attach, join_counted, mixed, only, pieces, stored, written
 
 REPEAT_BYTES = 400
 ANCHOR_BYTES = 128
@@ -311,7 +311,7 @@ def repeated_runs(docs: DataFrame, width: int = REPEAT_BYTES, id_col: str = "doc
     digests = rows.select(*KEYS, F.md5("text").alias("digest"))
     several = digests.groupBy("digest").agg(F.count("*").alias("c"), F.min(F.struct(*KEYS)).alias("first")).where("c > 1")
     copies = stored(
-        digests.join(several, "digest").groupBy(*KEYS).agg(F.bool_or(F.struct(*KEYS) == F.col("first")).alias("is_first"))
+        join_counted(digests, several, "digest", "c").groupBy(*KEYS).agg(F.bool_or(F.struct(*KEYS) == F.col("first")).alias("is_first"))
     )
     singles = only(rows, copies.where("NOT is_first"), KEYS, keep=False)
 
