@@ -79,8 +79,8 @@ class FoldedDatabases:
 
     ``hold`` marks shards that must wait. Facts of held keys stay in ``<checkpoint>-waiting``, one folder per batch, and go out
     with the first batch or ``release`` after they are due. ``rejects`` gets changes that cannot be routed, by a stream
-    of its own with a checkpoint of its own; without it they fail the stream. A ``ledger`` keeps finished parts of a
-    batch from being run again.
+    of its own (``refused_query``) with a checkpoint of its own, and when that one fails, so does the next batch; without
+    ``rejects`` such changes fail the stream. A ``ledger`` keeps finished parts of a batch from being run again.
     """
 
     def __init__(
@@ -90,13 +90,16 @@ class FoldedDatabases:
         self.spec, self.connect, self.checkpoint, self.options = spec, connect, checkpoint.rstrip("/"), options
         self.fold = StateFold(spec, self.checkpoint, paused, pause_seconds)
         self.hold, self.rejects, self.ledger = hold, rejects, ledger
+        self.refused_query: StreamingQuery | None = None
         # A release must not write facts that a running batch is about to replace.
         self._writing = threading.Lock()
 
     def start(self, events: DataFrame, every: str | None = "2 seconds") -> StreamingQuery:
         if self.rejects is not None:
             refused = refused_stream(events, self.spec)
-            start_batches(refused, lambda part, n: hand_over(part, self.rejects, n), f"{self.checkpoint}-rejects", every)
+            self.refused_query = start_batches(
+                refused, lambda part, n: hand_over(part, self.rejects, n), f"{self.checkpoint}-rejects", every
+            )
         return self.fold.start(events, self.process, every, skip_refused=self.rejects is not None)
 
     def _waiting(self, batch_id: int) -> str:
@@ -104,6 +107,9 @@ class FoldedDatabases:
 
     def process(self, facts: DataFrame, batch_id: int) -> None:
         """Write what is due of the touched keys and of those that waited. Safe to repeat."""
+        failed = self.refused_query.exception() if self.refused_query is not None else None
+        if failed is not None:
+            raise failed
         with self._writing:
             if self.hold is None and stored(facts.sparkSession, self._waiting(batch_id - 1)) is None:
                 return self._write(facts, batch_id)
