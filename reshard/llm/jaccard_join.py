@@ -269,7 +269,9 @@ def jaccard_components(
     sets_out = sets_out.select(F.col("doc").alias("set"), F.coalesce("root", "doc").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     by_text = members.join(sets_out, "set").select(F.col("doc").alias("first"), "root", "links", F.col("weight").alias("all"))
 
-    out = texts.join(samples.select(F.col("doc").alias("first"), "n").distinct(), "first").join(by_text, "first", "left")
+    of_text = samples.select(F.col("doc").alias("first"), "n").distinct().join(by_text, "first", "left")
+    counted = texts.where(F.col("doc") == F.col("first")).select("first", F.col("weight").alias("size")).distinct()
+    out = join_counted(texts, of_text.join(counted, "first"), "first", "size")
     root = F.when(F.col("n") > 0, F.coalesce("root", "first")).otherwise(F.col("doc"))
     links = F.when(F.col("n") > 0, F.coalesce("links", F.lit(0)) + F.coalesce("all", "weight") - 1).otherwise(F.lit(0))
     out = out.select("doc", "n", root.alias("root"), links.alias("links"))
