@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reshard.llm.common import multivariate, row_hash, with_running
 
 ROWS_PER_BLOCK = 50_000
+# Rows of the matrix, which is drawn on the driver and broadcast.
+MOST_BLOCKS = 1024
 
 
 def communication_matrix(blocks: list[int], shards: int, seed: int) -> list[list[int]]:
@@ -28,10 +30,10 @@ def shuffle_to_shards(
 ) -> DataFrame:
     """All rows with their shard and their slot in it: columns doc (the whole row), shard, slot.
 
-    Rows lie in blocks by a hash of their contents; the number of blocks follows the row count, so no block outgrows a
-    task. A matrix of exact counts (block x shard) is drawn hypergeometrically
-    from the block sizes alone; each block is permuted by a seeded hash and dealt out by its row of the matrix; after
-    the exchange each shard is permuted again by another hash, in ranges of the hash, so that no shard is in one task.
+    Rows lie in blocks by a hash of their contents, MOST_BLOCKS of them at most, so that the matrix stays small. A matrix of
+    exact counts (block x shard) is drawn hypergeometrically from the block sizes alone; each block is permuted by a
+    seeded hash and dealt out by its row of the matrix; after the exchange each shard is permuted again by another hash.
+    Both permutations go in ranges of the hash, so that no block and no shard is in one task.
     Equal seeds give equal results, whatever the partitions; a lost task repeats the same choices.
 
     Rows that agree in all columns are interchangeable. NULLs are values like others. Columns named like the results
@@ -40,7 +42,7 @@ def shuffle_to_shards(
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_hash(docs).alias("_tie"))
     total = docs.count()
-    blocks = max(1, -(-total // rows_per_block))
+    blocks = max(1, min(MOST_BLOCKS, -(-total // rows_per_block)))
     rows = rows.withColumns({
         "block": F.pmod(F.xxhash64(F.lit(seed), "_tie"), F.lit(blocks)).cast("int"),
         "_first": F.xxhash64(F.lit(seed + 1), "_tie"),
@@ -51,9 +53,9 @@ def shuffle_to_shards(
     ends = [(b, [int(v) for v in np.cumsum(row)]) for b, row in enumerate(matrix)]
     dealt = docs.sparkSession.createDataFrame(ends, "block int, ends array<bigint>")
 
-    local = Window.partitionBy("block").orderBy("_first", "_tie")
-    rows = rows.withColumn("_place", F.row_number().over(local)).join(F.broadcast(dealt), "block")
-    rows = rows.withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("_place"))))
-    rows = rows.withColumn("_one", F.lit(1)).drop("ends", "_place", "_first", "block")
+    rows = rows.withColumn("_one", F.lit(1))
+    rows = with_running(rows, "block", "_first", {"_place": "_one"}, total, blocks, rows_per_block)
+    rows = rows.join(F.broadcast(dealt), "block")
+    rows = rows.withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("_place")))).drop("ends", "_place", "_first", "block")
     out = with_running(rows, "shard", "_second", {"slot": "_one"}, total, shards, rows_per_block)
     return out.select("doc", "shard", "slot")
