@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reshard.functions.hashing import unsigned_bits
 from reshard.spec import ColumnSpec, TableSpec
 
 # Keys are lifted by 2^48 because the shard slot starts at that bit.
@@ -171,6 +172,17 @@ def build(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text, **{n: table(spark, sf_dir, n) for n in used})
 
 
+def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of ``KEYS`` for user ids of any size. Its SQL has no result from user 32768 on, where the lifted key leaves 63 bits:
+    there a number is the low 64 bits of the key, as hashes are, and the text has all its digits."""
+    lifted = F.col("user_id").cast("decimal(20,0)") * F.lit(LIFT).cast("decimal(15,0)") + F.col("event_id").cast("decimal(20,0)")
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", lifted.alias("k"))
+    return rows.select(
+        F.col("event_id").alias("id"), unsigned_bits(F.col("k")).alias("k_int"), unsigned_bits(-F.col("k")).alias("k_neg"),
+        F.col("k").cast("string").alias("k_num"), F.concat("event_type", F.lit("-"), F.col("event_id").cast("string")).alias("k_txt"),
+    )
+
+
 def _events_of(changes: DataFrame, element: str) -> DataFrame:
     """Pack change rows into one event per position, with positional images."""
     before = F.array(F.col("seq"), F.col("created_on").cast("bigint"), F.col("user_id"), F.col("recording_id"))

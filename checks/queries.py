@@ -51,7 +51,7 @@ def _changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _keys(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.build(spark, sf, fx.KEYS)
+    return fx.keys(spark, sf)
 
 
 def _positions(spark: SparkSession, sf: str) -> DataFrame:

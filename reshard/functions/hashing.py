@@ -24,6 +24,11 @@ def wrap_unsigned(value: Column) -> Column:
     return F.when(value >= F.lit(_TWO_63), value - F.lit(_TWO_64)).otherwise(value).cast("bigint")
 
 
+def unsigned_bits(value: Column) -> Column:
+    """Low 64 bits of a whole DECIMAL of any size and sign, as BIGINT."""
+    return wrap_unsigned(F.pmod(value, F.lit(_TWO_64)).cast("decimal(20,0)"))
+
+
 def hash_int(key: Column) -> Column:
     return key.cast("bigint")
 
