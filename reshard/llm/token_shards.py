@@ -3,13 +3,13 @@
 Documents are dealt to tasks by ranges of their ids, so that the order of shards is the order of documents. A task encodes
 them, cuts the ids into shards and writes each as one binary body:
 
-    header      magic "RPG1", first nonterminal, rules, symbols, ids, documents, bits per symbol
+    header      magic "RPG2", first nonterminal, rules, symbols, ids, documents, bits per symbol, bits per length
     rules       two symbols per rule; rule k makes the nonterminal first + k, from symbols below it
-    lengths     ids that each rule stands for, 32 bits each
+    lengths     ids that each rule stands for
     symbols     the compressed ids
     ends        ids up to the end of each document, 64 bits each
 
-Rules and symbols are packed to the bits that the largest symbol needs. A place in the ids is found by adding up the lengths
+Rules and symbols are packed to the bits that the largest symbol needs, lengths to those of the largest length. A place in the ids is found by adding up the lengths
 of the symbols before it, so a range of ids is decoded from the symbols that cover it and the rules alone.
 
 The folder has ``shards`` (part, shard, n_docs, n_ids, doc_ids, body) and ``index`` (part, shard, start, n_docs, n_ids),
@@ -32,28 +32,28 @@ from reshard.llm.common import PIECE_BYTES, pieces
 from reshard.llm.tokens import WordIds, bpe_tokenizer, loaded, ranges, shipped
 from reshard.session import broadcast_if_small
 
-MAGIC = b"RPG1"
-HEADER = struct.Struct("<4sIIIQQI")
+MAGIC = b"RPG2"
+HEADER = struct.Struct("<4sIIIQQII")
 # A shard ends with the document that reaches so many ids.
 SHARD_IDS = 1 << 20
-# A pair becomes a rule while it occurs so often: a rule costs two symbols and a length.
-LEAST_PAIRS = 8
+# A pair becomes a rule while it occurs so often without overlaps: all that repeats is replaced.
+LEAST_PAIRS = 2
 # A round replaces all pairs that are at least 1 / ROUND_SHARE as frequent as the most frequent one.
 ROUND_SHARE = 128
-# Rounds end when one has shortened the symbols by less than 1 / LEAST_GAIN.
-LEAST_GAIN = 8
 # Slots of the table in which a round looks pairs up; of pairs that meet in a slot the less frequent ones wait.
 TABLE_BITS = 17
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+# Slots in which a round counts pairs before it counts the frequent ones exactly.
+COUNT_BITS = 20
 
 
 # --- grammar ---------------------------------------------------------------------------------------------------------
 
 
 def _chosen(places: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """Which of the places of pairs to replace, so that none overlap: the better ranked of neighbours, every other in a run."""
+    """Which of the places of pairs to replace, so that none overlap: the better ranked of neighbours, every other in a run.
+    Ranks begin at 1, the best."""
     near = places[1:] == places[:-1] + 1
-    better, same = ranks[1:] > ranks[:-1], ranks[1:] == ranks[:-1]
+    better, same = ranks[1:] < ranks[:-1], ranks[1:] == ranks[:-1]
     chosen = np.ones(len(places), bool)
     chosen[:-1] &= ~(near & better)
     chosen[1:] &= ~near | better | same
@@ -65,20 +65,54 @@ def _chosen(places: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return chosen
 
 
+def _spread(pairs: np.ndarray, turn: int) -> np.ndarray:
+    """Hashes of pairs whose high bits depend on both symbols. Pairs that meet in one turn do not meet in the next."""
+    factor = np.uint64((0x9E3779B97F4A7C15 + turn * 0xD6E8FEB86659FD92) & 0xFFFFFFFFFFFFFFFF)
+    hashed = pairs * factor
+    hashed ^= hashed >> np.uint64(32)
+    hashed *= factor
+    return hashed
+
+
+def _apart(symbols: np.ndarray, places: np.ndarray) -> np.ndarray | slice:
+    """Which places to take without every other one in a run of one symbol, where a pair overlaps itself."""
+    alike = np.flatnonzero(symbols[places] == symbols[places + 1])
+    if not len(alike):
+        return slice(None)
+    at, runs = np.arange(len(alike)), places[alike]
+    begin = np.maximum.accumulate(np.where(np.concatenate(([True], runs[1:] != runs[:-1] + 1)), at, 0))
+    out = np.ones(len(places), bool)
+    out[alike[(at - begin) & 1 == 1]] = False
+    return out
+
+
 def compress(ids: np.ndarray, least: int = LEAST_PAIRS) -> tuple[int, np.ndarray, np.ndarray]:
     """First nonterminal, rules (pairs of symbols) and symbols of a grammar that yields the ids.
 
     The frequent pairs of neighbours are replaced by nonterminals, the most frequent ones first where pairs overlap, round
-    by round, until none occurs ``least`` times or a round shortens the symbols by less than 1 / LEAST_GAIN. A pair that is
-    hardly left when its turn comes, as its symbols went to better ones, gets no rule.
+    by round, until none occurs ``least`` times without overlaps. A pair that is hardly left when its turn comes, as its
+    symbols went to better ones, gets no rule then. The most frequent pair of a round always gets one, so rounds end.
+
+    A pair only gets rarer, and new pairs hold a nonterminal of the last round. So a round looks only at places that had
+    a pair frequent enough (by a hash, which counts too many at most), or that are beside a new nonterminal.
     """
     first = int(ids.max()) + 1 if len(ids) else 0
     symbols, rules, made = ids.astype(np.uint32), [np.zeros(0, np.uint64)], 0
-    shift = np.uint64(64 - TABLE_BITS)
-    while len(symbols) > 1:
-        pairs = symbols[:-1].astype(np.uint64)
+    shift, count_shift = np.uint64(64 - TABLE_BITS), np.uint64(64 - COUNT_BITS)
+    live = np.arange(len(symbols) - 1)
+    while len(live):
+        pairs = symbols[live].astype(np.uint64)
         pairs <<= np.uint64(32)
-        pairs |= symbols[1:]
+        pairs |= symbols[live + 1]
+        hashed = _spread(pairs, len(rules))
+        if made:
+            slots = (hashed >> count_shift).astype(np.intp)
+            enough = np.bincount(slots, minlength=1 << COUNT_BITS)[slots] >= least
+            live, pairs, hashed = live[enough], pairs[enough], hashed[enough]
+        apart = _apart(symbols, live)
+        at, pairs, hashed = live[apart], pairs[apart], hashed[apart]
+        if not len(at):
+            break
         ordered = np.sort(pairs)
         edges = np.concatenate(([0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(ordered)]))
         counts = np.diff(edges)
@@ -88,30 +122,30 @@ def compress(ids: np.ndarray, least: int = LEAST_PAIRS) -> tuple[int, np.ndarray
         # Ascending, so that of pairs that meet in a slot of the table the most frequent one is written last. Equally
         # frequent ones are spread, or a text of neighbouring ids would keep all but one of them for later.
         wanted, counts = ordered[edges[often]], counts[often]
-        wanted = wanted[np.lexsort((wanted * _SPREAD, counts))]
-        slots = wanted * _SPREAD >> shift
+        keys = _spread(wanted, len(rules))
+        order = np.lexsort((keys, counts))
+        wanted, slots = wanted[order], keys[order] >> shift
         table, rank_of = np.zeros(1 << TABLE_BITS, np.uint64), np.zeros(1 << TABLE_BITS, np.int32)
         table[slots] = wanted
         rank_of[slots] = np.arange(len(wanted), 0, -1, dtype=np.int32)
-        at = pairs * _SPREAD >> shift
+        slots = hashed >> shift
         # The pair of two zeros looks like an empty slot, of which it has one when it is wanted.
-        places = np.flatnonzero((table[at] == pairs) & (rank_of[at] > 0))
-        ranks = rank_of[at[places]]
+        found = np.flatnonzero((table[slots] == pairs) & (rank_of[slots] > 0))
+        places, ranks = at[found], rank_of[slots[found]]
         chosen = _chosen(places, ranks)
         places, ranks = places[chosen], ranks[chosen]
         kept = np.bincount(ranks, minlength=len(wanted) + 1) >= min(least, 4)
         places, ranks = places[kept[ranks]], ranks[kept[ranks]]
-        if not len(places):
-            break
         symbols[places] = (np.cumsum(kept) - 1 + first + made)[ranks]
+        again = np.zeros(len(symbols), bool)
+        again[live] = again[places] = again[np.maximum(places - 1, 0)] = True
         left = np.ones(len(symbols), bool)
         left[places + 1] = False
         symbols = symbols[left]
+        live = np.flatnonzero(again[left][:-1])
         new = wanted[len(wanted) - np.flatnonzero(kept)]
         rules.append(new)
         made += len(new)
-        if len(places) * LEAST_GAIN < len(symbols):
-            break
     sides = np.concatenate(rules)
     return first, np.stack((sides >> np.uint64(32), sides & np.uint64(0xFFFFFFFF)), axis=1).astype(np.uint32), symbols
 
@@ -165,16 +199,18 @@ def make_body(ids: np.ndarray, ends: np.ndarray, least: int = LEAST_PAIRS) -> by
     """Binary form of a shard with these ids, whose documents end at ``ends``."""
     first, rules, symbols = compress(ids, least)
     bits = max(1, (first + len(rules)).bit_length())
-    head = HEADER.pack(MAGIC, first, len(rules), len(symbols), len(ids), len(ends), bits)
-    lengths = rule_lengths(first, rules).astype("<u4").tobytes()
-    return b"".join((head, _packed(rules.reshape(-1), bits), lengths, _packed(symbols, bits), ends.astype("<u8").tobytes()))
+    lengths = rule_lengths(first, rules)
+    wide = int(lengths.max(initial=1)).bit_length()
+    head = HEADER.pack(MAGIC, first, len(rules), len(symbols), len(ids), len(ends), bits, wide)
+    parts = (_packed(rules.reshape(-1), bits), _packed(lengths, wide), _packed(symbols, bits), ends.astype("<u8").tobytes())
+    return b"".join((head, *parts))
 
 
 class Body:
     """A shard's body, of which ranges of ids can be read."""
 
     def __init__(self, data: bytes) -> None:
-        magic, self.first, n_rules, n_symbols, self.n_ids, n_docs, bits = HEADER.unpack_from(data)
+        magic, self.first, n_rules, n_symbols, self.n_ids, n_docs, bits, wide = HEADER.unpack_from(data)
         if magic != MAGIC:
             raise ValueError("not a token shard")
         at, view = HEADER.size, memoryview(data)
@@ -185,7 +221,7 @@ class Body:
             return view[at - size : at]
 
         self.rules = _unpacked(take(-(-2 * n_rules * bits // 8)), 2 * n_rules, bits).reshape(-1, 2)
-        self.lengths = np.frombuffer(take(4 * n_rules), "<u4").astype(np.int64)
+        self.lengths = _unpacked(take(-(-n_rules * wide // 8)), n_rules, wide).astype(np.int64)
         self.symbols = _unpacked(take(-(-n_symbols * bits // 8)), n_symbols, bits)
         self.ends = np.frombuffer(take(8 * n_docs), "<u8").astype(np.int64)
 
