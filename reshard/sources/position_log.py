@@ -23,7 +23,8 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Iterator
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -36,6 +37,11 @@ from pyspark.sql.types import StructType
 
 from reshard.sources.changelog import event_ddl
 
+# A task reads landed files until it has so many events: a log of many short files would start a Python task for each.
+TASK_ROWS = 50_000
+# Footers read at once.
+FOOTERS = 16
+
 # The end of a file that is known to be the last one so far.
 Place = tuple[str, int]
 
@@ -60,13 +66,14 @@ class Landed:
 
 @dataclass
 class Part(InputPartition):
-    """What a task reads: events of a landed file behind ``after`` up to ``upto``."""
+    """What a task reads: events of a landed file behind ``after`` up to ``upto``, and then those of further files."""
 
     source: str
     log_file: str
     path: str
     after: int | None
     upto: int | None
+    further: tuple[Part, ...] = ()
 
 
 class PositionLog(DataSource):
@@ -104,22 +111,27 @@ class PositionReader(DataSourceStreamReader):
     def _landed(self) -> list[Landed]:
         """All landed files, by source and position. Only the footers of new ones are read."""
         system, root = self._files()
-        for info in system.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True)):
-            parts = info.path.split("/")
-            if info.type != pafs.FileType.File or not parts[-1].endswith(".parquet") or info.path in self.seen:
-                continue
-            if any(p.startswith(("_", ".")) for p in info.path[len(root) :].split("/")):
-                continue
-            names = dict(p.split("=", 1) for p in parts if "=" in p)
-            with system.open_input_file(info.path) as file:
+
+        def landed(path: str) -> Landed | None:
+            with system.open_input_file(path) as file:
                 footer = pq.ParquetFile(file).metadata
             if not footer.num_rows:
-                continue
+                return None
             column = [footer.schema.column(i).path for i in range(footer.num_columns)].index("log_pos")
             edges = [footer.row_group(i).column(column).statistics for i in range(footer.num_row_groups)]
-            first, last = min(e.min for e in edges), max(e.max for e in edges)
+            names = dict(p.split("=", 1) for p in path.split("/") if "=" in p)
             source, log_file = unquote(names["source"]), unquote(names["log_file"])
-            self.seen[info.path] = Landed(source, log_file, info.path, first, last, footer.num_rows)
+            return Landed(source, log_file, path, min(e.min for e in edges), max(e.max for e in edges), footer.num_rows)
+
+        new = []
+        for info in system.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True)):
+            if info.type != pafs.FileType.File or not info.path.endswith(".parquet") or info.path in self.seen:
+                continue
+            if any(p.startswith(("_", ".")) for p in info.path[len(root) :].split("/")):
+                continue
+            new.append(info.path)
+        with ThreadPoolExecutor(FOOTERS) as pool:
+            self.seen |= {f.path: f for f in pool.map(landed, new) if f}
         return sorted(self.seen.values(), key=lambda f: (f.source, f.log_file, f.first, f.last))
 
     @staticmethod
@@ -187,23 +199,33 @@ class PositionReader(DataSourceStreamReader):
         return out
 
     def partitions(self, start: dict, end: dict) -> list[Part]:
-        """Landed files with events behind the start up to the end; the first and the last one may be read in part."""
+        """Landed files with events behind the start up to the end, up to TASK_ROWS in a task; the first and the last one of a
+        source may be read in part."""
         began, ends = self._read(start), self._read(end)
         self.at = ends if self.at is None else self.at
-        parts = []
+        groups: list[list[Part]] = []
+        rows = TASK_ROWS
         for f in self._landed():
             after, upto = began.get(f.source, ("", -1)), ends.get(f.source, ("", -1))
             if (f.log_file, f.last) <= after or (f.log_file, f.first) > upto:
                 continue
-            parts.append(Part(
+            if rows >= TASK_ROWS:
+                groups.append([])
+                rows = 0
+            rows += f.rows
+            groups[-1].append(Part(
                 f.source, f.log_file, f.path,
                 after[1] if f.log_file == after[0] else None, upto[1] if f.log_file == upto[0] else None,
             ))
-        return parts
+        return [replace(first, further=tuple(others)) for first, *others in groups]
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
-        """Events of one part, batch by batch."""
+        """Events of a part's files, batch by batch."""
         system, _ = self._files()
+        for one in (part, *part.further):
+            yield from self._events(system, one)
+
+    def _events(self, system: pafs.FileSystem, part: Part) -> Iterator[pa.RecordBatch]:
         with system.open_input_file(part.path) as file:
             for batch in pq.ParquetFile(file).iter_batches(batch_size=8192):
                 at = batch.column("log_pos")
