@@ -11,6 +11,8 @@ from reshard.session import broadcast_if_small
 WINDOW_WORDS = 13
 # What separates words: ASCII but digits and a-z, after A-Z is lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# A word before A-Z is lower-cased.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
@@ -21,6 +23,11 @@ def words_of(text: Column) -> Column:
     return F.when(F.element_at(words, -1) == "", F.slice(words, 1, F.size(words) - 1)).otherwise(words)
 
 
+def words_in(text: Column) -> Column:
+    """How many words a text has. No list of them is made, and lower case changes no border between words."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0))
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """Rows with equal ids and texts share their matches."""
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("sum"))
@@ -122,7 +129,7 @@ def decontaminate(
     named = found.select("doc", "item").distinct().groupBy("doc").agg(F.sort_array(F.collect_list("item")).alias("items"))
     hits = hits.join(named, "doc")
 
-    rows = docs.select(row_key(id_col, text_col).alias("doc"), F.size(words_of(F.col(text_col))).cast("long").alias("n_words"))
+    rows = docs.select(row_key(id_col, text_col).alias("doc"), words_in(F.col(text_col)).cast("long").alias("n_words"))
     on = F.col("doc.id").eqNullSafe(F.col("hit.id")) & (F.col("doc.sum") == F.col("hit.sum"))
     out = rows.join(hits.withColumnRenamed("doc", "hit"), on, "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
