@@ -151,7 +151,8 @@ def _filling(rows: DataFrame, sources: int) -> DataFrame:
 
 
 def deal_blocks(mixed: DataFrame, shards: int = 8, seed: int = 23, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """Result of :func:`mix` dealt to shards, one row per taken copy: doc, source, copy, shard, slot.
+    """Result of :func:`mix` dealt to shards, one row per taken copy: doc, source, rank, copy, shard, slot. It is read several
+    times, so it should be stored.
 
     Copies of a source lie in blocks of neighbours in its permuted order. Exact numbers of blocks per source and shard
     come from a splitting tree over one count per source; a source's blocks are disjoint and go to the shards in turn.
@@ -177,7 +178,7 @@ def deal_blocks(mixed: DataFrame, shards: int = 8, seed: int = 23, block_docs: i
         "_one": F.lit(1),
     })
     copied = mixed.agg(F.sum("times")).first()[0] or 0
-    return with_running(copies, "shard", "_key", {"slot": "_one"}, copied, shards).select("doc", "source", "copy", "shard", "slot")
+    return with_running(copies, "shard", "_key", {"slot": "_one"}, copied, shards).select("doc", "source", "rank", "copy", "shard", "slot")
 
 
 def docs_frame(like: DataFrame, rows: list) -> DataFrame:
