@@ -26,6 +26,8 @@ PIECE_CLASSES = byte_classes(b"", b" ", b"\t\n\v\f\r")
 PIECE_CUTS = ((3, 1),)
 # Pieces whose alignment a worker keeps.
 KEPT_PIECES = 250_000
+# Characters of new pieces that are encoded and aligned at once; a longer piece is alone. Tokens take some hundred times that.
+ALIGNED_CHARS = 1 << 18
 # White space beyond ASCII, where rules of tokenizers differ: texts with it are one piece.
 ODD_SPACE = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -85,8 +87,18 @@ class Sides:
 
         The groups are None for a text that the tokens of one side do not give back. A pair is a * (size of the second
         vocabulary) + b. Texts that do not end with white space are encoded many at once, as neither tokenizer joins across
-        the space that follows.
+        the space that follows. A worker holds the tokens of ALIGNED_CHARS at a time, however many texts are new.
         """
+        out, start, chars = [], 0, 0
+        for i, text in enumerate(texts):
+            if i > start and chars + len(text) > ALIGNED_CHARS:
+                out += self._known(texts[start:i])
+                start, chars = i, 0
+            chars += len(text)
+        return out + self._known(texts[start:])
+
+    def _known(self, texts: list[str]) -> list[tuple]:
+        """The same for a few texts, all at once."""
         out: list = [(0, 0, 0, None, b"", b"")] * len(texts)
         open_ = [i for i, t in enumerate(texts) if not t[-1].isspace() and len(t) <= KEPT_CHARS]
         units = [open_[i : i + JOINED] for i in range(0, len(open_), JOINED)]

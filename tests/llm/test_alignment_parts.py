@@ -1,0 +1,32 @@
+"""New pieces of text are aligned part by part, so that a worker never holds the tokens of all of them."""
+
+import random
+
+import public_tokenizers as tokenizers
+
+from reshard.llm import token_alignment
+from reshard.llm.token_alignment import Sides
+
+
+def sides():
+    files = [open(tokenizers.path(name), "rb") for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    with files[0] as a, files[1] as b:
+        return Sides(a.read(), b.read())
+
+
+def test_tokens_held_at_once_are_bounded(monkeypatch):
+    rng = random.Random(5)
+    new = [" " + "".join(rng.choices("abcdefghij klmnoéß漢", k=rng.randint(1, 30))).strip() for _ in range(60_000)]
+    texts = list(dict.fromkeys(["  ", " " + "long " * 80_000 + "end", *[t for t in new if len(t) > 1]]))
+    whole, parts = sides(), sides()
+    held, aligned = [], Sides._aligned
+    monkeypatch.setattr(Sides, "_aligned", lambda self, a, b, ends: held.append(len(a) + len(b)) or aligned(self, a, b, ends))
+    monkeypatch.setattr(token_alignment, "ALIGNED_CHARS", 1 << 40, raising=False)
+    at_once = whole.known(texts)
+    held.clear()
+    monkeypatch.setattr(token_alignment, "ALIGNED_CHARS", 20_000, raising=False)
+    assert parts.known(texts) == at_once
+    # A part has 20,000 characters of up to three bytes and each side a token a byte at most; the long text is alone.
+    long = 80_001 * 2 + 10
+    assert sorted(held)[-2] <= 2 * 3 * 20_000 and max(held) <= max(long, 2 * 3 * 20_000)
+    assert parts.known([]) == []
