@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reshard.llm.common import ascii_lower, only
+from reshard.llm.common import ascii_lower, only, row_hash, same, stored
 from reshard.llm.decontamination import decontaminate
 from reshard.llm.jaccard_join import jaccard_components
-from reshard.llm.mixing import mix
+from reshard.llm.mixing import deal_blocks, mix
 from reshard.llm.sharding import shuffle_to_shards
 from reshard.llm.toxicity import learn, toxicity_scores
 from reshard.session import new_folder
@@ -48,9 +48,20 @@ def not_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    mixed = mix(docs).where("times > 0")
-    return mixed.withColumn("_copy", F.explode(F.expr("sequence(1, times)"))).select("doc.*")
+    """Each document as often as the mix takes it, with the shard and slot that its copies are dealt to in blocks of their source;
+    these replace columns of these names.
+
+    The mix and the dealing handle ids and hashes only; whole rows meet their copies at the end. Rows that agree in all columns are
+    interchangeable, so one of them stands for all their copies.
+    """
+    marked = docs.withColumns({"_id": F.col("doc_id"), "_row": row_hash(docs)})
+    mixed = stored(mix(marked, carry=["_id", "_row"]))
+    again = mixed.groupBy("doc._id", "doc._row").count().where("count > 1")
+    single = only(marked, again, ["_id", "_row"], keep=False)
+    single = single.unionByName(only(marked, again, ["_id", "_row"]).dropDuplicates(["_id", "_row"]))
+    copies = deal_blocks(mixed).select("doc._id", "doc._row", "shard", "slot")
+    taken = single.alias("a").join(copies.alias("b"), same("a", "b", ["_id", "_row"]))
+    return taken.select(*[f"a.`{c}`" for c in docs.columns if c not in ("shard", "slot")], "b.shard", "b.slot")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
