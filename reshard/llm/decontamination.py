@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reshard.llm.common import ascii_lower, stored
+from reshard.llm.common import ascii_lower, stored, written
 from reshard.session import broadcast_if_small
 
 WINDOW_WORDS = 13
@@ -42,9 +42,10 @@ def test_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     return rows.select("item", F.slice("all", F.col("at"), width).alias("words")).distinct()
 
 
-def _tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def split_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc, words, n_words of each row. NULL has no words."""
     rows = docs.select(row_key(id_col, text_col).alias("doc"), words_of(F.col(text_col)).alias("words"))
-    return rows.select("doc", "words", F.posexplode("words").alias("at", "term"))
+    return rows.select("doc", "words", F.size("words").cast("long").alias("n_words"))
 
 
 def with_rarest_term(windows: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -52,8 +53,13 @@ def with_rarest_term(windows: DataFrame, docs: DataFrame, id_col: str = "doc_id"
 
     Occurrences are counted over all documents, added up before the shuffle.
     """
+    return _with_rarest_term(windows, split_texts(docs, id_col, text_col))
+
+
+def _with_rarest_term(windows: DataFrame, split: DataFrame) -> DataFrame:
+    """The same for texts that are split already."""
     terms = windows.select(F.explode("words").alias("term")).distinct()
-    counted = _tokens(docs, id_col, text_col).select("term").join(broadcast_if_small(terms), "term")
+    counted = split.select(F.explode("words").alias("term")).join(broadcast_if_small(terms), "term")
     counted = stored(counted.groupBy("term").agg(F.count("*").alias("n")))
     placed = windows.select("item", "words", F.posexplode("words").alias("offset", "term"))
     placed = placed.join(broadcast_if_small(counted), "term", "left")
@@ -71,7 +77,12 @@ def build_index(
     lists of all other terms near a posting are at hand without a further shuffle. Every occurrence in every document
     is stored, in the shared folder. The documents are not shuffled while the terms are few enough to be broadcast.
     """
-    found = _tokens(docs, id_col, text_col).join(broadcast_if_small(terms.select("term").distinct()), "term")
+    return _build_index(split_texts(docs, id_col, text_col), terms, radius)
+
+
+def _build_index(split: DataFrame, terms: DataFrame, radius: int) -> DataFrame:
+    """The same for texts that are split already."""
+    found = split.select("doc", "words", F.posexplode("words").alias("at", "term")).join(broadcast_if_small(terms.select("term").distinct()), "term")
     first = F.greatest(F.col("at") - radius, F.lit(0))
     context = F.slice("words", first + 1, F.col("at") - first + radius + 1)
     return stored(found.select("term", "doc", "at", (F.col("at") - first).alias("before"), context.alias("context")))
@@ -115,10 +126,12 @@ def decontaminate(
     (at least one word of ``one_in`` is hit), text_sum (xxhash64 of the text, tells rows with equal ids apart).
 
     Whole texts are read. NULL and empty texts have no words and are clean, also against an empty benchmark. A word hit
-    by several windows counts once. Rows with equal id and text get equal results; other columns are ignored.
+    by several windows counts once. Rows with equal id and text get equal results; other columns are ignored. Texts are split
+    once: their words go to the shared folder.
     """
-    windows = stored(with_rarest_term(stored(test_windows(items, item_id, item_text, width)), docs, id_col, text_col))
-    index = build_index(docs, windows, width - 1, id_col, text_col)
+    split = written(split_texts(docs, id_col, text_col), "words")
+    windows = stored(_with_rarest_term(stored(test_windows(items, item_id, item_text, width)), split))
+    index = _build_index(split, windows, width - 1)
     found = stored(phrase_matches(index, windows))
     spans = found.select("doc", "start", (F.col("start") + F.col("length")).alias("end")).distinct()
     # At most one place after the other within one document.
@@ -129,7 +142,7 @@ def decontaminate(
     named = found.select("doc", "item").distinct().groupBy("doc").agg(F.sort_array(F.collect_list("item")).alias("items"))
     hits = hits.join(named, "doc")
 
-    rows = docs.select(row_key(id_col, text_col).alias("doc"), words_in(F.col(text_col)).cast("long").alias("n_words"))
+    rows = split.select("doc", "n_words")
     on = F.col("doc.id").eqNullSafe(F.col("hit.id")) & (F.col("doc.sum") == F.col("hit.sum"))
     out = rows.join(hits.withColumnRenamed("doc", "hit"), on, "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
