@@ -54,20 +54,38 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The mix and the dealing handle ids and hashes only; whole rows meet their copies at the end. Rows that agree in all columns are
     interchangeable, so one of them stands for all their copies.
     """
-    marked = docs.withColumns({"_id": F.col("doc_id"), "_row": row_hash(docs)})
+    marked = _marked(docs)
     mixed = stored(mix(marked, carry=["_id", "_row"]))
-    again = mixed.groupBy("doc._id", "doc._row").count().where("count > 1")
-    single = only(marked, again, ["_id", "_row"], keep=False)
-    single = single.unionByName(only(marked, again, ["_id", "_row"]).dropDuplicates(["_id", "_row"]))
     copies = deal_blocks(mixed).select("doc._id", "doc._row", "shard", "slot")
-    taken = single.alias("a").join(copies.alias("b"), same("a", "b", ["_id", "_row"]))
-    return taken.select(*[f"a.`{c}`" for c in docs.columns if c not in ("shard", "slot")], "b.shard", "b.slot")
+    return _with_places(marked, mixed.select("doc._id", "doc._row"), copies)
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """Documents with the id and the hash that tell them apart."""
+    return docs.withColumns({"_id": F.col("doc_id"), "_row": row_hash(docs)})
+
+
+def _with_places(marked: DataFrame, rows: DataFrame, places: DataFrame) -> DataFrame:
+    """Whole rows, told by id and hash, at all their places (shard, slot); they are shuffled once, here.
+
+    ``rows`` has id and hash of every document, so that those of equal rows are known; one of them stands for all.
+    """
+    keys = ["_id", "_row"]
+    again = rows.groupBy(*keys).count().where("count > 1")
+    single = only(marked, again, keys, keep=False).unionByName(only(marked, again, keys).dropDuplicates(keys))
+    placed = single.alias("a").join(places.alias("b"), same("a", "b", keys))
+    return placed.select(*[f"a.`{c}`" for c in marked.columns if c not in ("shard", "slot", *keys)], "b.shard", "b.slot")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and slot, which replace columns of these names."""
-    rows = shuffle_to_shards(docs, 8)
-    return rows.select(*[f"doc.`{c}`" for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+    """Documents with their shard and slot, which replace columns of these names.
+
+    The shuffle deals ids and hashes; whole rows meet their places at the end.
+    """
+    marked = _marked(docs)
+    rows = stored(marked.select("_id", "_row"))
+    places = shuffle_to_shards(rows, 8).select("doc._id", "doc._row", "shard", "slot")
+    return _with_places(marked, rows, places)
 
 
 STAGES: list[tuple[str, Stage]] = [
